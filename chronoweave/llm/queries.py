@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, warc
+from . import exact_dedup, gif, langid, mixing, packing, pii, warc
 from .common import table
 
 
@@ -14,6 +14,29 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary()).drop("ids")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif.read_back(gif.encode_texts(table(spark, sf_dir, "documents")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(spark, table(spark, sf_dir, "pages"))
 
@@ -24,6 +47,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
+    "op5_gif": op5_gif,
+    "op6_language_id": op6_language_id,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
