@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, gif, langid, mixing, packing, pii, warc
+from . import exact_dedup, gif, langid, mixing, packing, pii, simhash, warc
 from .common import table
 
 
@@ -37,6 +37,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_captures(spark, table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_gif": op5_gif,
     "op6_language_id": op6_language_id,
+    "op7_simhash": op7_simhash,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
 }
