@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, gif, langid, mixing, packing, pii, simhash, warc
+from . import exact_dedup, gif, langid, mixing, packing, pii, simhash, substring_dedup, suffix_dedup, warc
 from .common import table
 
 
@@ -14,6 +14,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 def vocabulary() -> str:
     """The tokenizer file of the packing query."""
     import public_tokenizers
@@ -49,8 +53,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("whole", "part")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_packing": op3_packing,
     "op4_pii": op4_pii,
     "op5_gif": op5_gif,
@@ -58,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash": op7_simhash,
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {
