@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .fixed import UNKNOWN_SPEAKER
 
@@ -40,7 +41,7 @@ def subtitle_clock(ms: Column | str) -> Column:
     return F.concat(clock(m), F.lit(","), F.lpad((m % 1000).cast("string"), 3, "0"))
 
 
-@F.udf("string")
+@F.udf(T.StringType(), useArrow=False)
 def subtitle_clock_seconds(seconds: float | None) -> str | None:
     """``HH:MM:SS,mmm`` of seconds in a double, for writers only.
 
