@@ -398,9 +398,14 @@ SQL["coverage_gaps"] = ad.sql("SELECT model, recording_id, turn_seq, start_ms, e
     ad.CTES["flagged"], """SELECT *, CASE WHEN row_number() OVER o = 1 OR start_ms - lag(end_ms) OVER o <= 1000 THEN 0 ELSE 1 END AS changed
         FROM labelled WINDOW o AS (PARTITION BY model, recording_id ORDER BY start_ms, seq)""")
 
-# Words' edges are written out, each shared by two words at most: so every rule goes twice.
-_done = "text"
+
+
+def _edged(text: str) -> str:
+    """Every character outside words between two marks, so that neighbouring words share none."""
+    return "".join(c if c.isalnum() or c == "_" else f"\x01{c}\x01" for c in text)
+
+
+_done = "regexp_replace(text, '([^\\pL\\pN_])', '\x01\\1\x01', 'g')"
 for _heard, _meant in RULES.items():
-    for _ in range(2):
-        _done = rf"regexp_replace({_done}, '(?i)(^|[^\pL\pN_]){_heard}($|[^\pL\pN_])', '\1{_meant.replace(chr(92), chr(92) * 2)}\2', 'g')"
-SQL["vocab_corrections"] = f"SELECT doc_id, md5({_done}) AS corrected_md5 FROM documents"
+    _done = rf"regexp_replace({_done}, '(?i)(^|{chr(1)}){_edged(_heard)}($|{chr(1)})', '\1{_edged(_meant).replace(chr(92), chr(92) * 2)}\2', 'g')"
+SQL["vocab_corrections"] = f"SELECT doc_id, md5(replace({_done}, '\x01', '')) AS corrected_md5 FROM documents"
