@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import new_path, text_or_empty, write_table
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Windows whose hashes are held at once.
 PIECE = 1 << 18
 #: Anchors that a bucket of step 2 is meant to hold.
@@ -66,17 +66,21 @@ def gram_hashes(sym: np.ndarray, k: int) -> np.ndarray:
         _powers[:] = [np.cumprod(np.full(size, m, np.uint64)) for m in (_MULT, pow(_MULT, -1, 1 << 64))]
     up, down = _powers
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(sym * down[:n], out=sums[1:])
-    return _mix((sums[k:] - sums[:-k]) * up[: n - k + 1])
+    np.multiply(sym, down[:n], out=sums[1:])
+    np.cumsum(sums, out=sums)
+    h = sums[k:] - sums[:-k]
+    h *= up[: n - k + 1]
+    return _mix(h)
 
 
 def window_anchors(sym: np.ndarray, k: int, win: int) -> np.ndarray:
     """The least hash of the ``k``-grams in each window of ``win`` symbols."""
     least, span, width = gram_hashes(sym, k), 1, win - k + 1
-    while span * 2 <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    return np.minimum(least[: len(least) - (width - span)], least[width - span :]) if span < width else least
+    while span < width:
+        step = min(span, width - span)
+        least = np.minimum(least[:-step], least[step:])
+        span += step
+    return least
 
 
 # ---- units of a block ----------------------------------------------------------------
@@ -128,12 +132,14 @@ def anchor_runs(units: Units, k: int, win: int, inner: bool = False) -> tuple[np
     for p in range(0, max(0, total - win + 1), PIECE):
         q = min(total, p + PIECE + win - 1)
         least = window_anchors(units.symbols(p, q), k, win)
-        at = np.arange(p, p + len(least))
-        doc = np.searchsorted(units.bounds, at, "right") - 1
-        last = units.bounds[doc + 1] - win
         new = np.ones(len(least), bool)
-        new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        inside = units.bounds[np.searchsorted(units.bounds, p) : np.searchsorted(units.bounds, p + len(least))]
+        new[inside - p] = True
         first = np.flatnonzero(new)
+        at = first + p
+        doc = np.searchsorted(units.bounds, at, "right") - 1
+        last = units.bounds[doc + 1] - win
         after = np.append(first[1:], len(least))
         again = after - first > win - k + 1
         if inner:
@@ -141,9 +147,9 @@ def anchor_runs(units: Units, k: int, win: int, inner: bool = False) -> tuple[np
             for apart in range(1, min(win - k + 1, len(whole))):
                 i = np.flatnonzero(whole[:-apart] == whole[apart:])
                 again[run[i[run[i] == run[i + apart]]]] = True
-        fits = at[first] <= last[first]
-        first, after, again = first[fits], after[fits], again[fits]
-        out.append((at[first], np.minimum(after + p, last[first] + 1) - at[first], least[first], doc[first], again))
+        n = np.minimum(after + p, last + 1) - at
+        fits = n > 0
+        out.append((at[fits], n[fits], least[first[fits]], doc[fits], again[fits]))
     if not out:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(0, np.uint64), none, np.zeros(0, bool)
@@ -219,7 +225,9 @@ def _units(task: Task, sizes: pa.Scalar, body: pa.Scalar) -> Units:
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    """Where an anchor is dealt. Anchors are least hashes, so their own high bits are mostly 0."""
+    spread = (h | np.uint64(1)) * np.uint64(_MULT)
+    return ((spread >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
@@ -242,7 +250,9 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
             ends = np.append(first[1:], len(h)) - 1
             twice = (ends > first) | np.logical_or.reduceat(again, first) if task.within and len(h) else doc[ends] != doc[first]
             h = h[first] | twice.astype(np.uint64)
-            cut = np.searchsorted(_bucket(h, buckets), np.arange(buckets + 1))
+            bucket = _bucket(h, buckets)
+            order = np.argsort(bucket, kind="stable")
+            h, cut = h[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
             if full:
                 blobs = [h[cut[b] : cut[b + 1]].tobytes() for b in full]
@@ -356,69 +366,81 @@ def shard_windows(parcels: list, task: Task) -> list[np.ndarray]:
     which, at, doc, start, owner, subs = [], [], [], [], [], []
     for p, (arrays, stretches) in enumerate(parcels):
         own = np.array([index.setdefault(x, len(index)) for x in stretches], np.int64)
+        stretches.clear()
         subs.append((own, arrays[0]))
         which.append(own[arrays[1]])
         at.append(arrays[2])
         doc.append(arrays[3])
         start.append(arrays[4])
-        owner.append(np.full(len(arrays[1]), p))
+        owner.append(np.full(len(arrays[1]), p, np.int32))
     which, at, doc, start, owner = (np.concatenate(x) for x in (which, at, doc, start, owner))
     stretches = list(index)
+    index.clear()
     sub = np.zeros(len(stretches), np.uint16)
     for own, s in subs:
         sub[own] = s
-    # The first run of each stretch; later ones are copies as a whole.
+    windows = np.array([_windows(x, task) for x in stretches], np.int64)
+    # The first run of each stretch; the others are copies as a whole.
     order = np.lexsort((start, doc, which))
     lead = order[np.append(True, which[order][1:] != which[order][:-1])]
-    lead_doc, lead_start = doc[lead], start[lead]
-    # Index the stretches by chunks of whole anchors.
-    windows = np.array([_windows(x, task) for x in stretches], np.int64)
-    offset = np.cumsum(windows) - windows
-    best_doc, best_start = np.repeat(lead_doc, windows), np.repeat(lead_start - offset, windows) + np.arange(windows.sum())
+    # The stretches by chunks of whole anchors; of each, the stretches of windows that are not first.
     by_sub = np.argsort(sub, kind="stable")
     size = np.cumsum([len(stretches[i]) for i in by_sub])
     group_end = np.flatnonzero(np.append(sub[by_sub][1:] != sub[by_sub][:-1], True)) + 1
-    low, spent = 0, 0
+    low, spent, later = 0, 0, []
     for end in group_end.tolist():
-        if size[end - 1] - spent < task.chunk_bytes and end < len(by_sub):
-            continue
-        ids, low, spent = by_sub[low:end], end, int(size[end - 1])
-        cls = task.classes([stretches[i] for i in ids], task.win)
-        n = windows[ids]
-        pos = np.repeat(offset[ids], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        order = np.argsort(cls, kind="stable")
-        c = cls[order]
-        same = np.zeros(len(c), bool)
-        same[1:] = c[1:] == c[:-1]
-        tied = same.copy()
-        tied[:-1] |= same[1:]
-        p, c = pos[order[tied]], c[tied]
-        if len(p):
-            order = np.lexsort((best_start[p], best_doc[p], c))
-            p, c = p[order], c[order]
-            head = np.append(True, c[1:] != c[:-1])
-            count = np.diff(np.append(np.flatnonzero(head), len(c)))
-            best_doc[p], best_start[p] = np.repeat(best_doc[p[head]], count), np.repeat(best_start[p[head]], count)
-    # Each run against the first start of its windows.
-    n = windows[which]
-    total = int(n.sum())
-    step = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-    pos = np.repeat(offset[which], n) + step
-    run_doc = np.repeat(doc, n)
-    gone = best_doc[pos] < run_doc
+        if size[end - 1] - spent >= task.chunk_bytes or end == len(by_sub):
+            ids, low, spent = by_sub[low:end], end, int(size[end - 1])
+            later.append(_later([stretches[i] for i in ids], windows[ids], ids, doc[lead[ids]], start[lead[ids]], task))
+    ids, off, num = (np.concatenate(x) for x in zip(*later, strict=True))
+    order = np.argsort(ids, kind="stable")
+    ids, off, num = ids[order], off[order], num[order]
+    # A copy goes as a whole if its document is later (or its start, within one); else it goes as its first run does.
+    behind = doc > doc[lead[which]]
     if task.within:
-        gone |= (best_doc[pos] == run_doc) & (best_start[pos] < np.repeat(start, n) + step)
-    u, own = np.repeat(at, n) + step, np.repeat(owner, n)
-    u, own = u[gone], own[gone]
-    if not len(u):
-        return [np.zeros((0, 2), np.int64) for _ in parcels]
-    new = np.append(True, (u[1:] != u[:-1] + 1) | (own[1:] != own[:-1]))
-    first = np.flatnonzero(new)
-    pairs = np.stack([u[first], np.diff(np.append(first, len(u)))], axis=1)
-    cut = np.searchsorted(own[first], np.arange(len(parcels) + 1))
+        behind |= (doc == doc[lead[which]]) & (start > start[lead[which]])
+    alike = np.flatnonzero(~behind)
+    a, b = np.searchsorted(ids, which[alike]), np.searchsorted(ids, which[alike], "right")
+    n = b - a
+    each = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    whole = np.flatnonzero(behind)
+    first = np.concatenate([at[whole], np.repeat(at[alike], n) + off[each]])
+    count = np.concatenate([windows[which[whole]], num[each]])
+    own = np.concatenate([owner[whole], np.repeat(owner[alike], n)])
+    order = np.argsort(own, kind="stable")
+    pairs = np.stack([first, count], axis=1)[order]
+    cut = np.searchsorted(own[order], np.arange(len(parcels) + 1))
     return [pairs[cut[i] : cut[i + 1]] for i in range(len(parcels))]
 
 
+def _later(stretches: list[bytes], n: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``stretch, first window, number`` of the windows whose words or bytes start earlier in another place."""
+    cls = task.classes(stretches, task.win)
+    order = np.argsort(cls, kind="stable")
+    c = cls[order]
+    tied = np.zeros(len(c), bool)
+    tied[1:] = c[1:] == c[:-1]
+    tied[:-1] |= tied[1:].copy()
+    pos, c = order[tied], c[tied]
+    if not len(pos):
+        return ids[:0], n[:0], n[:0]
+    ends = np.cumsum(n)
+    of = np.searchsorted(ends, pos, "right")
+    d, s = doc[of], start[of] + pos - (ends[of] - n[of])
+    order = np.lexsort((s, d, c))
+    head = np.append(True, c[order][1:] != c[order][:-1])
+    best = order[head][np.cumsum(head) - 1]
+    gone = d[best] < d[order]
+    if task.within:
+        gone |= (d[best] == d[order]) & (s[best] < s[order])
+    pos = np.sort(pos[order][gone])
+    if not len(pos):
+        return ids[:0], n[:0], n[:0]
+    of = np.searchsorted(ends, pos, "right")
+    first = np.flatnonzero(np.append(True, (pos[1:] != pos[:-1] + 1) | (of[1:] != of[:-1])))
+    return ids[of[first]], pos[first] - (ends[of[first]] - n[of[first]]), np.diff(np.append(first, len(pos)))
+
+
 def _windows(stretch: bytes, task: Task) -> int:
     units = len(stretch) if task.units is byte_units else stretch.count(b" ") + 1
     return units - task.win + 1
@@ -441,7 +463,8 @@ def with_windows(docs: DataFrame, task: Task) -> DataFrame:
     held = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     per_unit = 1 if task.units is byte_units else 6
     anchors = int(2 * held / per_unit / (task.win - task.k + 2))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), anchors // BUCKET_ANCHORS + 1)
+    # Several a partition, so that partitions come out even and one at a time is in memory.
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), anchors // BUCKET_ANCHORS + 1)
     repeated = write_table(repeated_anchors(blocks, task, buckets), "anchors")
     windows = write_table(earlier_windows(blocks, repeated, task, buckets), "windows")
     return _joined(blocks, windows, "windows", "left")
