@@ -241,6 +241,8 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, sizes, body in _rows(batches, ["block", "sizes", "body"]):
             _, _, h, doc, again = anchor_runs(_units(task, sizes, body), task.k, task.win, task.within)
+            if not len(h):
+                continue
             h = h & ~one
             order = np.lexsort((doc, h))
             h, doc, again = h[order], doc[order], again[order]
@@ -248,7 +250,7 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
             new[1:] = h[1:] != h[:-1]
             first = np.flatnonzero(new)
             ends = np.append(first[1:], len(h)) - 1
-            twice = (ends > first) | np.logical_or.reduceat(again, first) if task.within and len(h) else doc[ends] != doc[first]
+            twice = (ends > first) | np.logical_or.reduceat(again, first) if task.within else doc[ends] != doc[first]
             h = h[first] | twice.astype(np.uint64)
             bucket = _bucket(h, buckets)
             order = np.argsort(bucket, kind="stable")
