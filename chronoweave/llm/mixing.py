@@ -115,7 +115,8 @@ def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     share the largest decision.
     """
     choice = mixed.groupBy("doc_id").agg(F.max(F.struct("whole", "part", "size")).alias("choice"))
-    full = F.col("choice.whole") + F.when((F.col("choice.part") == F.col("choice.size")) & (F.col("choice.size") > 0), 1).otherwise(0)
+    once_more = F.when(F.col("choice.part") == F.col("choice.size"), 1).otherwise(0)
+    full = F.when(F.col("choice.size") > 0, F.col("choice.whole") + once_more).otherwise(0)
     cut = (F.col("choice.part") > 0) & (F.col("choice.part") < F.col("choice.size"))
     copies = F.concat(
         F.array_repeat(F.col("text"), full.cast("int")),
