@@ -31,12 +31,12 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select("recording_id", "turn_seq", "speaker", seq.alias("seq"), "text", (400 * seq).alias("start_ms"), (400 * seq + 350).alias("end_ms"))
 
 
-def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words(spark, sf_dir).groupBy("recording_id", "turn_seq").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.first("speaker").alias("speaker"))
+def turns(heard: DataFrame) -> DataFrame:
+    return heard.groupBy("recording_id", "turn_seq").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.first("speaker").alias("speaker"))
 
 
-def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words(spark, sf_dir).groupBy("recording_id").agg(F.max("end_ms").alias("duration_ms"))
+def recordings(heard: DataFrame) -> DataFrame:
+    return heard.groupBy("recording_id").agg(F.max("end_ms").alias("duration_ms"))
 
 
 def emissions(heard: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -59,10 +59,9 @@ def models(heard: DataFrame) -> DataFrame:
     return one.unionByName(two)
 
 
-def model_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+def model_words(heard: DataFrame) -> DataFrame:
     """What both models emitted, overlaps included."""
-    heard = words(spark, sf_dir)
-    return emissions(models(heard.drop("turn_seq", "speaker")), heard.groupBy("recording_id").agg(F.max("end_ms").alias("duration_ms")))
+    return emissions(models(heard.drop("turn_seq", "speaker")), recordings(heard))
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:

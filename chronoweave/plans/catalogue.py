@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, scalar
 from ..operators import control, coverage, detecting, islands, merging, planning, rangejoin, speakers
+from ..sources.staging import stage
 from . import adapters as ad
 from . import timeline
 
@@ -21,26 +22,30 @@ SEEN = [r"(?i)und[ ,.]", r"(?i)la [a-z]", "tion", r"(?i)the[ ,.]"]
 POLLS = {"overlap": 2000, "window": 3000, "least_overlap": 500, "tolerance": 300, "least_tail": 100}
 
 
-def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    return speakers.assign_speakers(merging.merge_overlaps(ad.model_words(spark, d), keys=KEYS), ad.turns(spark, d), keys=KEYS)
+class _Inputs:
+    """The input tables of one query; words are staged, as all the others come from them."""
 
+    def __init__(self, spark: SparkSession, d: str):
+        self.words = stage(ad.words(spark, d), "words")
+        self.turns, self.recordings, self.emitted = ad.turns(self.words), ad.recordings(self.words), ad.model_words(self.words)
 
-def _segments(spark: SparkSession, d: str) -> DataFrame:
-    return speakers.build_segments(_labelled(spark, d), keys=KEYS)
+    def keyed(self) -> DataFrame:
+        """Recordings by the models that heard anything of them."""
+        heard = ad.models(self.words).select("recording_id", "model").distinct()
+        return self.recordings.join(heard, "recording_id").select(*KEYS, "duration_ms")
 
+    def merged(self) -> DataFrame:
+        return merging.merge_overlaps(self.emitted, keys=KEYS)
 
-def _keyed(spark: SparkSession, d: str) -> DataFrame:
-    both = F.explode(F.array(*map(F.lit, fixed.MODELS)))
-    heard = ad.models(ad.words(spark, d)).select("recording_id", "model").distinct()
-    return ad.recordings(spark, d).withColumn("model", both).join(heard, KEYS, "left_semi").select(*KEYS, "duration_ms")
+    def labelled(self) -> DataFrame:
+        return speakers.assign_speakers(self.merged(), self.turns, keys=KEYS)
 
+    def segments(self) -> DataFrame:
+        """Staged too: most queries read them more than once."""
+        return stage(speakers.build_segments(self.labelled(), keys=KEYS), "segments")
 
-def _audit(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return coverage.audit(ad.turns(spark, d), _segments(spark, d), _keyed(spark, d))
-
-
-def _tuned(spark: SparkSession, d: str) -> timeline.Tuned:
-    return timeline.tune(ad.model_words(spark, d), ad.turns(spark, d), _keyed(spark, d), most_tail_ms=TAIL_MS)
+    def tuned(self) -> timeline.Tuned:
+        return timeline.tune(self.emitted, self.turns, self.keyed(), most_tail_ms=TAIL_MS)
 
 
 def _quiet(spark: SparkSession, d: str) -> DataFrame:
@@ -66,11 +71,11 @@ def adapter_words(spark, d):
 
 
 def adapter_turns(spark, d):
-    return ad.turns(spark, d)
+    return ad.turns(ad.words(spark, d))
 
 
 def window_grid(spark, d):
-    return planning.window_grid(ad.recordings(spark, d), window=ad.WINDOW, step=ad.STEP, least_tail=0)
+    return planning.window_grid(ad.recordings(ad.words(spark, d)), window=ad.WINDOW, step=ad.STEP, least_tail=0)
 
 
 def window_plan_snapped(spark, d):
@@ -94,27 +99,28 @@ def nearest_silence_snap(spark, d):
 
 
 def overlap_merge(spark, d):
-    return merging.merge_overlaps(ad.model_words(spark, d), keys=KEYS).select(*KEYS, "seq", "text", "start_ms", "window_idx")
+    return _Inputs(spark, d).merged().select(*KEYS, "seq", "text", "start_ms", "window_idx")
 
 
 def overlap_drop_counts(spark, d):
-    before = ad.model_words(spark, d).groupBy(*KEYS).agg(F.count("*").alias("emitted"))
-    after = merging.merge_overlaps(ad.model_words(spark, d), keys=KEYS).groupBy(*KEYS).agg(F.count("*").alias("kept"))
+    inputs = _Inputs(spark, d)
+    before = inputs.emitted.groupBy(*KEYS).agg(F.count("*").alias("emitted"))
+    after = inputs.merged().groupBy(*KEYS).agg(F.count("*").alias("kept"))
     return before.join(after, KEYS).withColumn("dropped", F.col("emitted") - F.col("kept"))
 
 
 def merge_with_failed_window(spark, d):
-    left = ad.model_words(spark, d).where("model = 'canary' and window_idx % 4 <> 2")
+    left = _Inputs(spark, d).emitted.where("model = 'canary' and window_idx % 4 <> 2")
     return merging.merge_overlaps(left, keys=KEYS).select(*KEYS, "seq", "window_idx")
 
 
 def speaker_assign(spark, d):
-    return _labelled(spark, d).select(*KEYS, "seq", "speaker")
+    return _Inputs(spark, d).labelled().select(*KEYS, "seq", "speaker")
 
 
 def speaker_assign_ties(spark, d):
     """Words between two equally long, equally near turns: the earlier turn's speaker has them."""
-    words = ad.words(spark, d).where("seq % 5 = 0").select("recording_id", F.lit("m").alias("model"), "seq", "text", "start_ms", "end_ms")
+    words = _Inputs(spark, d).words.where("seq % 5 = 0").select("recording_id", F.lit("m").alias("model"), "seq", "text", "start_ms", "end_ms")
     mid = F.floor((F.col("start_ms") + F.col("end_ms")) / 2).cast("long")
     both = F.explode(F.array(F.struct((mid - 300).alias("a"), mid.alias("b"), F.lit("Z").alias("s"), (F.col("seq") * 2).alias("t")), F.struct(mid.alias("a"), (mid + 300).alias("b"), F.lit("A").alias("s"), (F.col("seq") * 2 + 1).alias("t"))))
     near = words.select("recording_id", both.alias("x")).select("recording_id", F.col("x.t").alias("turn_seq"), F.col("x.a").alias("start_ms"), F.col("x.b").alias("end_ms"), F.col("x.s").alias("speaker"))
@@ -122,25 +128,24 @@ def speaker_assign_ties(spark, d):
 
 
 def speaker_unknown(spark, d):
-    some = ad.turns(spark, d).where("turn_seq % 3 = 0")
-    words = merging.merge_overlaps(ad.model_words(spark, d), keys=KEYS)
-    named = speakers.assign_speakers(words, some, keys=KEYS)
+    inputs = _Inputs(spark, d)
+    named = speakers.assign_speakers(inputs.merged(), inputs.turns.where("turn_seq % 3 = 0"), keys=KEYS)
     return named.groupBy(*KEYS).agg(F.count("*").alias("words"), F.count_if(F.col("speaker") == fixed.UNKNOWN_SPEAKER).alias("unknown"))
 
 
 def build_segments(spark, d):
-    return _segments(spark, d)
+    return speakers.build_segments(_Inputs(spark, d).labelled(), keys=KEYS)
 
 
 def segment_sort(spark, d):
     w = Window.partitionBy(*KEYS).orderBy("start_ms", "end_ms", "seg_seq")
-    return _segments(spark, d).select(*KEYS, F.row_number().over(w).alias("place"), scalar.clock("start_ms").alias("clock"), "speaker", F.length("text").alias("chars"))
+    return build_segments(spark, d).select(*KEYS, F.row_number().over(w).alias("place"), scalar.clock("start_ms").alias("clock"), "speaker", F.length("text").alias("chars"))
 
 
 def srt_cues(spark, d):
     from ..sources import sinks
 
-    return sinks.subtitle_cues(_segments(spark, d), keys=KEYS).select(*KEYS, "cue", "times", "line")
+    return sinks.subtitle_cues(build_segments(spark, d), keys=KEYS).select(*KEYS, "cue", "times", "line")
 
 
 def speaker_label_map(spark, d):
@@ -175,22 +180,24 @@ def unsaid_segments(spark, d):
 
 
 def semantic_inversions(spark, d):
-    segs = _segments(spark, d)
+    segs = _Inputs(spark, d).segments()
     return detecting.inversions(segs.where("model = 'parakeet'"), segs.where("model = 'canary'"))
 
 
 def tail_gap(spark, d):
-    return coverage.tail_gaps(_keyed(spark, d), _segments(spark, d), most_ms=TAIL_MS)
+    inputs = _Inputs(spark, d)
+    return coverage.tail_gaps(inputs.keyed(), speakers.build_segments(inputs.labelled(), keys=KEYS), most_ms=TAIL_MS)
 
 
 def coverage_summary(spark, d):
-    return _audit(spark, d)[0]
+    inputs = _Inputs(spark, d)
+    return coverage.audit(inputs.turns, speakers.build_segments(inputs.labelled(), keys=KEYS), inputs.keyed())[0]
 
 
 def coverage_gaps(spark, d):
-    words = merging.merge_overlaps(ad.model_words(spark, d), keys=KEYS).withColumn("speaker", F.lit("x"))
-    parts = speakers.build_segments(words, keys=KEYS, max_gap_ms=1000)
-    return coverage.audit(ad.turns(spark, d), parts, _keyed(spark, d))[1]
+    inputs = _Inputs(spark, d)
+    parts = speakers.build_segments(inputs.merged().withColumn("speaker", F.lit("x")), keys=KEYS, max_gap_ms=1000)
+    return coverage.audit(inputs.turns, stage(parts, "parts"), inputs.keyed())[1]
 
 
 def interval_union(spark, d):
@@ -208,19 +215,20 @@ def mask_gaps(spark, d):
 
 
 def speaker_summary(spark, d):
-    return speakers.speaker_summary(_segments(spark, d), ad.turns(spark, d), keys=KEYS)
+    inputs = _Inputs(spark, d)
+    return speakers.speaker_summary(inputs.segments(), inputs.turns, keys=KEYS)
 
 
 def speaker_share(spark, d):
-    return speakers.speaker_shares(ad.turns(spark, d))
+    return speakers.speaker_shares(ad.turns(ad.words(spark, d)))
 
 
 def segment_distribution(spark, d):
-    return speakers.segment_distribution(_segments(spark, d), keys=KEYS)
+    return speakers.segment_distribution(build_segments(spark, d), keys=KEYS)
 
 
 def warnings(spark, d):
-    return _tuned(spark, d).warnings
+    return _Inputs(spark, d).tuned().warnings
 
 
 def offer_pick(spark, d):
@@ -240,7 +248,7 @@ def status_changes(spark, d):
 
 
 def artifact_manifest(spark, d):
-    bases = ad.recordings(spark, d).select(F.concat(F.lit("rec"), F.col("recording_id").cast("string")).alias("base"))
+    bases = ad.recordings(ad.words(spark, d)).select(F.concat(F.lit("rec"), F.col("recording_id").cast("string")).alias("base"))
     there = control.expected_outputs(bases).where(F.length("file") % 3 != 0)
     return control.missing_outputs(bases, there)
 
@@ -259,7 +267,7 @@ def last_log_rows(spark, d):
 
 
 def tune_pipeline(spark, d):
-    return timeline.report(_tuned(spark, d))
+    return timeline.report(_Inputs(spark, d).tuned())
 
 
 _NAMES = """adapter_words adapter_turns window_grid window_plan_snapped window_batches silence_islands nearest_silence_snap

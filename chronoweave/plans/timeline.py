@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import coverage, detecting, merging, speakers
+from ..sources.staging import stage
 
 KEYS = ["recording_id", "model"]
 
@@ -27,12 +28,12 @@ class Tuned:
 def tune(words: DataFrame, turns: DataFrame, recordings: DataFrame, *, smoothing_ms: int = 2000, grace_ms: int = 500, least_gap_ms: int = 2000, least_pct: float = 95.0, most_tail_ms: int = 30_000) -> Tuned:
     """Merge overlaps, assign speakers, build segments, audit coverage, warn.
 
-    ``recordings`` has ``recording_id, model, duration_ms``. Nothing runs until a result is used;
-    persist ``segments`` where several are.
+    ``recordings`` has ``recording_id, model, duration_ms``. Segments are staged, as every audit
+    and writer reads them; the rest runs where a result is used.
     """
     merged = merging.merge_overlaps(words, keys=KEYS)
     labelled = speakers.assign_speakers(merged, turns, smoothing_ms=smoothing_ms, keys=KEYS)
-    segments = speakers.build_segments(labelled, keys=KEYS)
+    segments = stage(speakers.build_segments(labelled, keys=KEYS), "segments")
     summary, gaps = coverage.audit(turns, segments, recordings, grace_ms=grace_ms, least_ms=least_gap_ms, keys=KEYS)
     tails = coverage.tail_gaps(recordings, segments, most_ms=most_tail_ms, keys=KEYS)
     return Tuned(labelled, segments, summary, gaps, tails, coverage.warnings(summary, tails, least_pct=least_pct, keys=KEYS))
