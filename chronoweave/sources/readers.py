@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import io
+import re
 import struct
 import wave
 from collections.abc import Callable, Iterator
-from dataclasses import fields
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -151,6 +152,52 @@ def settings(text: str) -> Settings:
     return Settings(**found)
 
 
+@dataclass
+class Config:
+    """Settings, the rules that texts go through, and whatever else the file has at its top level."""
+
+    settings: Settings
+    corrections: dict[str, str]
+    patterns: list[str]
+
+
+def _plain(value: str) -> str:
+    value = value.strip()
+    if value[:1] == '"':
+        body, escapes = value[1 : value.rindex('"')], {"n": "\n", "t": "\t"}
+        return re.sub(r"\\(.)", lambda m: escapes.get(m[1], m[1]), body)
+    if value[:1] == "'":
+        return value[1 : value.rindex("'")].replace("''", "'")
+    return re.sub(r"\s+#.*", "", value).strip()
+
+
+def config(text: str) -> Config:
+    """A settings file: flat ``name: value`` lines, one indented mapping of corrections, one list of patterns.
+
+    This is the part of YAML that such a file needs: plain and quoted scalars, comments, one
+    level of nesting. Rules keep the order of the file.
+    """
+    corrections: dict[str, str] = {}
+    patterns: list[str] = []
+    section = ""
+    for line in text.splitlines():
+        bare = line.strip()
+        if not bare or bare.startswith("#"):
+            continue
+        if not line[0].isspace():
+            section = bare.partition(":")[0]
+        elif section == "vocab_corrections" and (m := re.match(r"""("(?:[^"\\]|\\.)*"|'[^']*'|[^:]+?)\s*:\s*(.+)""", bare)):
+            corrections[_plain(m[1])] = _plain(m[2])
+        elif section == "hallucination_patterns" and bare.startswith("- "):
+            patterns.append(_plain(bare[2:]))
+    return Config(settings(text), corrections, patterns)
+
+
+def read_config(spark: SparkSession, path: str) -> Config:
+    """:func:`config` of a file that Spark can read."""
+    return config(spark.read.text(path, wholetext=True).first()[0])
+
+
 # ---- pluggable models ----------------------------------------------------------------
 
 _recognisers: dict[str, Callable] = {}

@@ -21,16 +21,19 @@ def _seconds(c: str) -> Column:
     return (F.col(c) / 1000).cast("double")
 
 
-def transcript_lines(segments: DataFrame, *, keys: Sequence[str] = KEYS) -> DataFrame:
-    """``keys, place, line``: ``[HH:MM:SS] Speaker N: text``; empty text is left out."""
-    w = Window.partitionBy(*keys).orderBy(*ORDER)
+def transcript_lines(segments: DataFrame, *, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
+    """``keys, place, line``: ``[HH:MM:SS] Speaker N: text``; empty text is left out.
+
+    The older form leaves the order of the input: ``order=("seg_seq",)``, here and for subtitles.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
     line = F.concat(F.lit("["), scalar.clock("start_ms"), F.lit("] "), scalar.speaker_label("speaker"), F.lit(": "), F.col("text"))
     return _said(segments).select(*keys, F.row_number().over(w).alias("place"), line.alias("line"))
 
 
-def subtitle_cues(segments: DataFrame, *, keys: Sequence[str] = KEYS) -> DataFrame:
+def subtitle_cues(segments: DataFrame, *, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
     """``keys, cue, times, line``; cues number the segments with text only."""
-    w = Window.partitionBy(*keys).orderBy(*ORDER)
+    w = Window.partitionBy(*keys).orderBy(*order)
     times = F.concat(scalar.subtitle_clock("start_ms"), F.lit(" --> "), scalar.subtitle_clock("end_ms"))
     return _said(segments).select(*keys, F.row_number().over(w).alias("cue"), times.alias("times"), F.concat(scalar.speaker_label("speaker"), F.lit(": "), F.col("text")).alias("line"))
 

@@ -82,6 +82,51 @@ def test_text_readers(spark, tmp_path):
     assert got == Settings(window_seconds=20.0, silence_min_duration_ms=300)
 
 
+def test_config(spark, tmp_path):
+    text = """# head
+window_seconds: 25   # note
+models:
+  - name: x
+vocab_corrections:
+  # people
+  "Sp\\"ar": Pf au
+  plain: "B's"
+hallucination_patterns:
+  - "(?i)amara\\\\.org"
+  - 'it''s'
+other: 1
+"""
+    (tmp_path / "c.yaml").write_text(text)
+    got = readers.read_config(spark, str(tmp_path / "c.yaml"))
+    assert got.settings.window_seconds == 25 and got.corrections == {'Sp"ar': "Pf au", "plain": "B's"}
+    assert got.patterns == [r"(?i)amara\.org", "it's"]
+
+
+def test_progress_log_and_batches(spark, tmp_path):
+    from chronoweave.streaming import progress
+
+    src, lines = str(tmp_path / "in"), []
+    spark.createDataFrame([(1, "m", 0, "a")], "recording_id long, model string, seq long, text string").write.json(src)
+    log = progress.ProgressLog(lines.append, total=2)
+    spark.streams.addListener(log)
+    try:
+        stream = spark.readStream.schema("recording_id long, model string, seq long, text string").json(src)
+        query = progress.append_batches(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.processAllAvailable()
+        query.stop()
+        for _ in range(100):
+            if any('"done"' in x for x in lines):
+                break
+            import time
+
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    rows = [json.loads(x) for x in lines]
+    assert any(r.get("chunks_done") == 1 and r["eta_sec"] is not None for r in rows)
+
+
 def test_writers(spark, tmp_path):
     rows = [(1, "m", 0, 5_000, 6_000, "SPEAKER_01", " late "), (1, "m", 1, 1_000, 2_500, None, "early é"), (1, "m", 2, 3_000, 3_000, "A", "  ")]
     segs = spark.createDataFrame(rows, schema.SEGMENTS)
