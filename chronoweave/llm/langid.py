@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ STEPS = 6
 LEAST_SHARE = 0.05
 #: Bytes whose n-grams are held at once; a longer text is taken in pieces, all of which count.
 PIECE_BYTES = 1 << 20
+#: N-grams of several documents that are taken together, about: what a processor's cache holds.
+TOGETHER = 1 << 16
 BACKGROUND = None
 
 _CLASS = np.full(256, 32, np.uint8)
@@ -59,36 +62,59 @@ class Model:
     #: Rows: bins. Columns: languages, then the background. Each row divided by its largest.
     ratio: np.ndarray
 
+    @cached_property
+    def columns(self) -> list[np.ndarray]:
+        return [np.ascontiguousarray(c) for c in self.ratio.T]
+
     def mixtures(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions of the components and the selected set, for n-grams of one document each."""
+        """Proportions of the components and the selected set, for n-grams of one document each.
+
+        Everything is held component by component, so that each operation runs over one
+        stretch of memory.
+        """
         sizes = np.array([len(p) for p in parts])
-        like = self.ratio[np.concatenate(parts)]
+        held = np.concatenate(parts)
+        like = [column[held] for column in self.columns]
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        k, n = like.shape[1], len(parts)
-
-        def step(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Shares after a step, and the log-likelihood before it."""
-            weighed = like * np.repeat(share.astype(np.float32), sizes, axis=0)
-            total = weighed.sum(1)
-            weighed /= total[:, None]
-            return np.add.reduceat(weighed, starts, axis=0, dtype=np.float64) / sizes[:, None], np.add.reduceat(np.log(total, dtype=np.float32), starts, dtype=np.float64)
+        k, n = len(like), len(parts)
+
+        def step(share: np.ndarray) -> np.ndarray:
+            """Shares after a step of expectation-maximisation."""
+            weighed = [column * np.repeat(share[:, c].astype(np.float32), sizes) for c, column in enumerate(like)]
+            total = weighed[0].copy()
+            for column in weighed[1:]:
+                total += column
+            out = np.empty((n, k))
+            for c, column in enumerate(weighed):
+                column /= total
+                out[:, c] = np.add.reduceat(column, starts, dtype=np.float64)
+            return out / sizes[:, None]
 
         share = np.full((n, k), 1 / k)
         for _ in range(STEPS):
-            share, _ = step(np.maximum(share, 1e-9))
+            share = step(np.maximum(share, 1e-9))
         order = np.argsort(-share, axis=1, kind="stable")
-        best, chosen = np.full(n, -np.inf), np.zeros((n, k), bool)
-        many = int((np.sort(share, axis=1)[:, ::-1] >= LEAST_SHARE).sum(1).max(initial=1))
-        for size in range(1, many + 1):
-            held = np.zeros((n, k), bool)
-            np.put_along_axis(held, order[:, :size], True, axis=1)
-            within = np.where(held, np.maximum(share, 1e-9), 1e-12)
-            _, fit = step(within / within.sum(1, keepdims=True))
-            score = fit - 0.5 * (size - 1) * np.log(sizes)
-            better = score > best
-            best, chosen = np.where(better, score, best), np.where(better[:, None], held, chosen)
+        chosen = np.zeros((n, k), bool)
+        np.put_along_axis(chosen, order[:, :1], True, axis=1)
+        several = np.flatnonzero((share >= LEAST_SHARE).sum(1) > 1)
+        for i in several:  # the others have one candidate, which needs no comparison
+            chosen[i] = self._set(share[i], order[i], np.stack([c[starts[i] : starts[i] + sizes[i]] for c in like]))
         return share, chosen
 
+    @staticmethod
+    def _set(share: np.ndarray, order: np.ndarray, like: np.ndarray) -> np.ndarray:
+        """Of the sets of the largest components, down to ``LEAST_SHARE``, the one of the best penalised likelihood."""
+        best, chosen = -np.inf, None
+        for n in range(1, int((share >= LEAST_SHARE).sum()) + 1):
+            held = np.zeros(len(share), bool)
+            held[order[:n]] = True
+            within = np.where(held, np.maximum(share, 1e-9), 1e-12)
+            fit = np.log((within / within.sum()).astype(np.float32) @ like).sum(dtype=np.float64)
+            score = fit - 0.5 * (n - 1) * np.log(like.shape[1])
+            if score > best:
+                best, chosen = score, held
+        return chosen
+
     def predict(self, texts: list[str]) -> list[tuple[str, float, list[str], float]]:
         """``language, its share, the selected set, the background's share`` of each text."""
         none = ("und", 0.0, [], 1.0)
@@ -116,7 +142,7 @@ class Model:
             rows.append(i)
             parts.append(g)
             held += len(g)
-            if held >= PIECE_BYTES:
+            if held >= TOGETHER:
                 flush()
                 held = 0
         if rows:
