@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _over(df: DataFrame, low: Column, high: Column, width: int, name: str) -> DataFrame:
-    first, last = F.floor(low / width).cast("long"), F.floor(high / width).cast("long")
-    return df.withColumn(name, F.explode(F.sequence(first, F.greatest(first, last))))
+def over_buckets(df: DataFrame, low: str, high: str, width: int) -> DataFrame:
+    """Each row once for every bucket that its range touches, with ``__bucket``."""
+    first, last = F.floor(F.col(low) / width).cast("long"), F.floor(F.col(high) / width).cast("long")
+    return df.withColumn("__bucket", F.explode(F.sequence(first, F.greatest(first, last))))
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, width: int, left_range: tuple[str, str] = ("l_start", "l_end"), right_range: tuple[str, str] = ("r_start", "r_end")) -> DataFrame:
@@ -25,8 +26,8 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, wid
     strictly inside another does not either, its overlap being 0. Other columns must differ.
     """
     (ls, le), (rs, re) = [tuple(map(F.col, r)) for r in (left_range, right_range)]
-    a = _over(left.where(le > ls), ls, le, width, "__bucket")
-    b = _over(right.where(re > rs), rs, re, width, "__bucket")
+    a = over_buckets(left.where(le > ls), *left_range, width)
+    b = over_buckets(right.where(re > rs), *right_range, width)
     first = F.floor(F.greatest(ls, rs) / width).cast("long") == F.col("__bucket")
     return a.join(b, [*keys, "__bucket"]).where((ls < re) & (rs < le) & first).drop("__bucket")
 
@@ -34,8 +35,8 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, wid
 def clip_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, width: int, left_range: tuple[str, str] = ("l_start", "l_end"), right_range: tuple[str, str] = ("r_start", "r_end")) -> DataFrame:
     """Like :func:`interval_join`, but an empty range strictly inside another pairs with it."""
     (ls, le), (rs, re) = [tuple(map(F.col, r)) for r in (left_range, right_range)]
-    a = _over(left, ls, le, width, "__bucket")
-    b = _over(right, rs, re, width, "__bucket")
+    a = over_buckets(left, *left_range, width)
+    b = over_buckets(right, *right_range, width)
     first = F.floor(F.greatest(ls, rs) / width).cast("long") == F.col("__bucket")
     return a.join(b, [*keys, "__bucket"]).where((ls < re) & (rs < le) & first).drop("__bucket")
 

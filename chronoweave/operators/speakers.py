@@ -10,26 +10,32 @@ from pyspark.sql import functions as F
 from ..functions import scalar
 from ..functions.fixed import UNKNOWN_SPEAKER
 from .islands import change_islands
-from .rangejoin import interval_join
+from .rangejoin import over_buckets
 
 
 def assign_speakers(words: DataFrame, turns: DataFrame, *, smoothing_ms: int = 2000, keys: Sequence[str] = ("recording_id", "model"), width_ms: int = 30_000) -> DataFrame:
     """``words`` with the ``speaker`` who holds most of the ``smoothing_ms`` around its middle.
 
     Of speakers with as much, the one whose turn comes first; none: ``SPEAKER_UNKNOWN``. All is
-    doubled, so that middles are whole. The window goes out once from the words that turns
-    touch and comes back as one row a word.
+    doubled, so that middles are whole. Words are told apart by ``keys``, ``seq`` and, where they
+    have it, ``window_idx``. They meet the turns bucket by bucket in an outer join, so that
+    one shuffle by word serves both the tally and the vote, and the words are read once.
     """
     by_start = Window.partitionBy("recording_id").orderBy("start_ms", "turn_seq")
-    ranked = turns.select("recording_id", (2 * F.col("start_ms")).alias("r_start"), (2 * F.col("end_ms")).alias("r_end"), F.col("speaker").alias("__speaker"), F.row_number().over(by_start).alias("__rank"))
-    ident = [*keys, "seq"]
-    middle = F.col("start_ms") + F.col("end_ms")
-    around = words.select(*ident, (middle - smoothing_ms).alias("l_start"), (middle + smoothing_ms).alias("l_end"))
-    pairs = interval_join(around, ranked, ["recording_id"], width=2 * width_ms)
-    held = pairs.withColumn("__ms", scalar.overlap(F.col("l_start"), F.col("l_end"), F.col("r_start"), F.col("r_end")))
-    tally = held.groupBy(*ident, "__speaker").agg(F.sum("__ms").alias("__ms"), F.min("__rank").alias("__rank"))
-    best = tally.groupBy(*ident).agg(F.max_by("__speaker", F.struct("__ms", -F.col("__rank"))).alias("speaker"))
-    return words.drop("speaker").join(best, ident, "left").withColumn("speaker", F.coalesce("speaker", F.lit(UNKNOWN_SPEAKER)))
+    ranked = turns.select("recording_id", (2 * F.col("start_ms")).alias("__rs"), (2 * F.col("end_ms")).alias("__re"), F.col("speaker").alias("__speaker"), F.row_number().over(by_start).alias("__rank"))
+    words = words.drop("speaker")
+    ident = [*keys, "seq", *[c for c in ("window_idx",) if c in words.columns]]
+    middle, width = F.col("start_ms") + F.col("end_ms"), 2 * width_ms
+    around = words.select(*ident, F.struct(*[c for c in words.columns if c not in ident]).alias("__rest"), (middle - smoothing_ms).alias("__ls"), (middle + smoothing_ms).alias("__le"))
+    pairs = over_buckets(around, "__ls", "__le", width).join(over_buckets(ranked.where("__re > __rs"), "__rs", "__re", width), ["recording_id", "__bucket"], "left")
+    once = F.col("__rs").isNotNull() & (F.floor(F.greatest("__ls", "__rs") / width) == F.col("__bucket"))  # greatest and least pass over nulls
+    ms = scalar.overlap(F.col("__ls"), F.col("__le"), F.col("__rs"), F.col("__re"))
+    held = pairs.select(*ident, "__rest", F.when(once & (ms > 0), F.struct("__speaker", "__rank", ms.alias("__ms"))).alias("__h")).repartition(*ident)
+    tally = held.groupBy(*ident, F.col("__h.__speaker").alias("__speaker")).agg(F.first("__rest").alias("__rest"), F.sum("__h.__ms").alias("__ms"), F.min("__h.__rank").alias("__rank"))
+    vote = F.max_by("__speaker", F.when(F.col("__ms") > 0, F.struct("__ms", -F.col("__rank"))))
+    best = tally.groupBy(*ident).agg(F.first("__rest").alias("__rest"), vote.alias("speaker"))
+    rest = {f"{c}": F.col(f"__rest.{c}") for c in words.columns if c not in ident}
+    return best.select(*[rest.get(c, F.col(c)).alias(c) for c in words.columns], F.coalesce("speaker", F.lit(UNKNOWN_SPEAKER)).alias("speaker"))
 
 
 def build_segments(words: DataFrame, *, keys: Sequence[str] = ("recording_id", "model"), max_gap_ms: int | None = None) -> DataFrame:
