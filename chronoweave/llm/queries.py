@@ -72,6 +72,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_substring_dedup": substring_dedup.SQL,
     "op8_warc": warc.SQL,
     "op9_mixing": mixing.SQL,
+    "op10_suffix_dedup": suffix_dedup.SQL,
 }

@@ -154,3 +154,25 @@ def remove_repeats(docs: DataFrame, *, win: int = WIN, k: int = K, keep_text: bo
 
     found = with_windows(docs, task(win, k, **limits))
     return found.select("doc_ids", "sizes", "body", "windows").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
+
+
+SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS w FROM texts, unnest(range(1, len(words) - 18)) AS t(i)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (
+  SELECT DISTINCT doc_id, i + j AS pos FROM later, unnest(range(0, 20)) AS t(j)),
+each AS (
+  SELECT t.doc_id, p.pos, t.words[p.pos] AS word, g.pos IS NOT NULL AS removed
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM texts) p JOIN texts t USING (doc_id)
+  LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos),
+sums AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE removed) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT removed) AS kept
+  FROM each GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, coalesce(s.n_removed, 0) AS n_removed, sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN sums s USING (doc_id)
+"""

@@ -145,3 +145,29 @@ def remove_repeats(docs: DataFrame, *, win: int = WIN, k: int = K, keep_text: bo
 
     found = with_windows(docs, task(win, k, **limits))
     return found.select("doc_ids", "sizes", "body", "windows").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+SQL = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(substring(h, 2 * i - 1, 100)) AS w FROM texts, unnest(range(1, n - 48)) AS t(i)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS first_id FROM windows) WHERE first_id < doc_id),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 49 AS b FROM (
+    SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM (
+      SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM later))
+  GROUP BY doc_id, run),
+edges AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+parts AS (
+  SELECT e.doc_id, e.before AS low, e.a - 1 AS high FROM edges e
+  UNION ALL SELECT t.doc_id, coalesce(r.b, 0), t.n FROM texts t LEFT JOIN (SELECT doc_id, max(b) AS b FROM runs GROUP BY doc_id) r USING (doc_id)),
+kept AS (
+  SELECT t.doc_id, t.n, sum(p.high - p.low) AS left_over, string_agg(substring(t.h, 2 * p.low + 1, 2 * (p.high - p.low)), '' ORDER BY p.low, p.high) AS h
+  FROM texts t JOIN parts p USING (doc_id) GROUP BY t.doc_id, t.n)
+SELECT k.doc_id, k.n AS n_bytes, CAST(k.n - k.left_over AS BIGINT) AS n_removed,
+       coalesce(s.spans, 0) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM kept k LEFT JOIN (SELECT doc_id, count(*) AS spans FROM runs GROUP BY doc_id) s USING (doc_id)
+"""
