@@ -14,7 +14,8 @@ mostly share one. The work then goes:
 4. Each block removes the units that such windows cover.
 
 Copies are folded before anything is indexed, and an anchor is sent once a block, so a
-passage that very many documents hold costs one entry a block. An anchor in more than
+passage that very many documents hold costs one entry a block. A task gathers what several
+blocks send to one place into one row. An anchor in more than
 ``hot_blocks`` blocks would gather many different stretches in one shard: its windows are dealt
 one by one, by a hash of the whole window.
 """
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import new_path, text_or_empty, write_table
 
 BLOCK_BYTES = 1 << 20
+#: Bytes that a task gathers for all buckets or shards before it sends them.
+SEND_BYTES = 16 << 20
 #: Windows whose hashes are held at once.
 PIECE = 1 << 18
 #: Anchors that a bucket of step 2 is meant to hold.
@@ -239,6 +242,15 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
     one = np.uint64(1)
 
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+        size = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            if held:
+                cols = ([*held], [[b for b, _ in x] for x in held.values()], [[len(h) for _, h in x] for x in held.values()], [b"".join(h.tobytes() for _, h in x) for x in held.values()])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True)], names=["bucket", "blocks", "sizes", "anchors"])
+            held.clear()
+
         for block, sizes, body in _rows(batches, ["block", "sizes", "body"]):
             _, _, h, doc, again = anchor_runs(_units(task, sizes, body), task.k, task.win, task.within)
             if not len(h):
@@ -254,16 +266,20 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
             h = h[first] | twice.astype(np.uint64)
             bucket = _bucket(h, buckets)
             order = np.argsort(bucket, kind="stable")
-            h, cut = h[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-            full = [b for b in range(buckets) if cut[b] < cut[b + 1]]
-            if full:
-                blobs = [h[cut[b] : cut[b + 1]].tobytes() for b in full]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int64()), pa.array([block.as_py()] * len(full), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "block", "anchors"])
+            h, bucket = h[order], bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            for low, high in zip(first.tolist(), [*first[1:].tolist(), len(h)], strict=True):
+                held.setdefault(int(bucket[low]), []).append((block.as_py(), h[low:high]))
+            size += h.nbytes
+            if size >= SEND_BYTES:
+                yield from sent()
+                size = 0
+        yield from sent()
 
     def meet(group: pa.Table) -> pa.Table:
-        lists = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("anchors")]
-        owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        h = np.concatenate(lists)
+        ids = np.concatenate([x.values.to_numpy(zero_copy_only=False) for x in group.column("blocks")])
+        owner = np.repeat(np.arange(len(ids)), np.concatenate([x.values.to_numpy(zero_copy_only=False) for x in group.column("sizes")]))
+        h = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in group.column("anchors")])
         order = np.argsort(h, kind="stable")
         h, owner = h[order], owner[order]
         new = np.ones(len(h), bool)
@@ -276,12 +292,11 @@ def repeated_anchors(blocks: DataFrame, task: Task, buckets: int) -> DataFrame:
         h, owner = marked[keep], owner[keep]
         order = np.argsort(owner, kind="stable")
         h, owner = h[order], owner[order]
-        cut = np.searchsorted(owner, np.arange(len(lists) + 1))
-        ids = group.column("block").to_pylist()
-        full = [i for i in range(len(lists)) if cut[i] < cut[i + 1]]
+        cut = np.searchsorted(owner, np.arange(len(ids) + 1))
+        full = [i for i in range(len(ids)) if cut[i] < cut[i + 1]]
         return pa.table({"block": pa.array([ids[i] for i in full], pa.int64()), "anchors": pa.array([h[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())})
 
-    sent = blocks.select("block", "sizes", "body").mapInArrow(up, "bucket long, block long, anchors binary")
+    sent = blocks.select("block", "sizes", "body").mapInArrow(up, "bucket long, blocks array<long>, sizes array<long>, anchors binary")
     return sent.groupBy("bucket").applyInArrow(meet, "block long, anchors binary")
 
 
@@ -290,31 +305,44 @@ def _joined(blocks: DataFrame, replies: DataFrame, column: str, how: str) -> Dat
     return blocks.join(replies.groupBy("block").agg(F.collect_list(column).alias(column)), "block", how)
 
 
-# A parcel: what a block sends to a shard. Header, then arrays, then the stretches' bytes.
+# A parcel: what a task sends to a shard. Header, then arrays, then the stretches' bytes.
 _HEAD = struct.Struct("<qq")
 
 
-def _parcel(sub: np.ndarray, which: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray, stretches: list[bytes]) -> bytes:
-    lens = np.array([len(x) for x in stretches], np.uint32)
-    arrays = (sub.astype(np.uint16), which.astype(np.uint32), at.astype(np.int64), doc.astype(np.int64), start.astype(np.int64), lens)
-    return zstandard.compress(_HEAD.pack(len(which), len(stretches)) + b"".join(x.tobytes() for x in arrays) + b"".join(stretches), 1)
+def _parcel(runs: list[tuple[np.ndarray, ...]], stretches: list[list[bytes]]) -> bytes:
+    """Runs ``(sub, at, doc, start, block)`` of several blocks; equal stretches are there once."""
+    index: dict[bytes, int] = {}
+    which = np.array([index.setdefault(x, len(index)) for own in stretches for x in own], np.uint32)
+    sub, at, doc, start, block = (np.concatenate(x) for x in zip(*runs, strict=True))
+    subs = np.zeros(len(index), np.uint16)
+    subs[which] = sub
+    arrays = (subs, which, at, doc, start, block, np.array([len(x) for x in index], np.uint32))
+    return zstandard.compress(_HEAD.pack(len(which), len(index)) + b"".join(x.tobytes() for x in arrays) + b"".join(index), 1)
 
 
 def _opened(data: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     data = zstandard.decompress(data)
     runs, n = _HEAD.unpack_from(data)
     at, arrays = _HEAD.size, []
-    for kind, size in ((np.uint16, n), (np.uint32, runs), (np.int64, runs), (np.int64, runs), (np.int64, runs), (np.uint32, n)):
+    for kind, size in ((np.uint16, n), (np.uint32, runs), *[(np.int64, runs)] * 4, (np.uint32, n)):
         arrays.append(np.frombuffer(data, kind, size, at))
         at += arrays[-1].nbytes
     ends = (np.cumsum(arrays.pop(), dtype=np.int64) + at).tolist()
-    return arrays, [data[a:b] for a, b in zip([at, *ends[:-1]], ends, strict=True)] if n else []
+    return arrays, [data[a:b] for a, b in zip([at, *ends[:-1]], ends, strict=True)]
 
 
 def earlier_windows(blocks: DataFrame, anchors: DataFrame, task: Task, shards: int) -> DataFrame:
     """Step 3: ``block, windows``: pairs (first window, number) that start earlier elsewhere."""
 
     def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[list, list]] = {}
+        size = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array([*held], pa.int64()), pa.array([_parcel(*x) for x in held.values()], pa.binary())], names=["shard", "parcel"])
+            held.clear()
+
         for block, ids, sizes, body, lists in _rows(batches, ["block", "doc_ids", "sizes", "body", "anchors"]):
             units = _units(task, sizes, body)
             known = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in lists.as_py()]))
@@ -330,43 +358,39 @@ def earlier_windows(blocks: DataFrame, anchors: DataFrame, task: Task, shards: i
                 each = np.repeat(first[hot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
                 own = np.array([xxhash.xxh64_intdigest(units.slice(a, a + task.win)) for a in each.tolist()], np.uint64)
                 first, n, h, doc = (np.concatenate(x) for x in ((first[~hot], each), (n[~hot], np.ones(len(each), np.int64)), (h[~hot], own), (doc[~hot], np.repeat(doc[hot], many))))
-            doc_ids = np.array([NO_ID if x is None else x for x in ids.as_py()], np.int64)
+            if not len(first):
+                continue
             shard = _bucket(h, shards)
-            sub = ((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)
             order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(shards + 1))
-            to, blobs = [], []
-            for s in range(shards):
-                rows = order[cut[s] : cut[s + 1]]
-                if not len(rows):
-                    continue
-                index: dict[bytes, int] = {}
-                which = np.array([index.setdefault(units.slice(a, b), len(index)) for a, b in zip(first[rows].tolist(), (first[rows] + n[rows] + task.win - 1).tolist(), strict=True)], np.int64)
-                subs = np.zeros(len(index), np.uint16)
-                subs[which] = sub[rows]
-                to.append(s)
-                blobs.append(_parcel(subs, which, first[rows], doc_ids[doc[rows]], first[rows] - units.bounds[doc[rows]], list(index)))
-            if to:
-                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([block.as_py()] * len(to), pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "block", "parcel"])
+            shard, first, n, h, doc = shard[order], first[order], n[order], h[order], doc[order]
+            doc_ids = np.array([NO_ID if x is None else x for x in ids.as_py()], np.int64)[doc]
+            sub = ((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)
+            start, mine = first - units.bounds[doc], np.full(len(first), block.as_py(), np.int64)
+            stretches = [units.slice(a, b) for a, b in zip(first.tolist(), (first + n + task.win - 1).tolist(), strict=True)]
+            cut = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            for low, high in zip(cut.tolist(), [*cut[1:].tolist(), len(shard)], strict=True):
+                runs, texts = held.setdefault(int(shard[low]), ([], []))
+                runs.append(tuple(x[low:high] for x in (sub, first, doc_ids, start, mine)))
+                texts.append(stretches[low:high])
+            size += sum(map(len, stretches))
+            if size >= SEND_BYTES:
+                yield from sent()
+                size = 0
+        yield from sent()
 
     def meet(group: pa.Table) -> pa.Table:
-        found = shard_windows([_opened(x.as_py()) for x in group.column("parcel")], task)
-        blocks_, windows = [], []
-        for block, w in zip(group.column("block").to_pylist(), found, strict=True):
-            if len(w):
-                blocks_.append(block)
-                windows.append(zstandard.compress(w.astype(np.int64).tobytes(), 1))
-        return pa.table({"block": pa.array(blocks_, pa.int64()), "windows": pa.array(windows, pa.binary())})
-
-    sent = _joined(blocks, anchors, "anchors", "inner").mapInArrow(up, "shard long, block long, parcel binary")
+        blocks_, pairs = shard_windows([_opened(x.as_py()) for x in group.column("parcel")], task)
+        return pa.table({"block": pa.array(blocks_, pa.int64()), "windows": pa.array([zstandard.compress(w.tobytes(), 1) for w in pairs], pa.binary())})
+
+    sent = _joined(blocks, anchors, "anchors", "inner").mapInArrow(up, "shard long, parcel binary")
     return sent.groupBy("shard").applyInArrow(meet, "block long, windows binary")
 
 
-def shard_windows(parcels: list, task: Task) -> list[np.ndarray]:
-    """For each parcel the pairs (first window in its block, number) of windows that start earlier elsewhere."""
+def shard_windows(parcels: list, task: Task) -> tuple[list[int], list[np.ndarray]]:
+    """Blocks, and for each the pairs (first window, number) of its windows that start earlier elsewhere."""
     index: dict[bytes, int] = {}
     which, at, doc, start, owner, subs = [], [], [], [], [], []
-    for p, (arrays, stretches) in enumerate(parcels):
+    for arrays, stretches in parcels:
         own = np.array([index.setdefault(x, len(index)) for x in stretches], np.int64)
         stretches.clear()
         subs.append((own, arrays[0]))
@@ -374,7 +398,7 @@ def shard_windows(parcels: list, task: Task) -> list[np.ndarray]:
         at.append(arrays[2])
         doc.append(arrays[3])
         start.append(arrays[4])
-        owner.append(np.full(len(arrays[1]), p, np.int32))
+        owner.append(arrays[5])
     which, at, doc, start, owner = (np.concatenate(x) for x in (which, at, doc, start, owner))
     stretches = list(index)
     index.clear()
@@ -410,9 +434,9 @@ def shard_windows(parcels: list, task: Task) -> list[np.ndarray]:
     count = np.concatenate([windows[which[whole]], num[each]])
     own = np.concatenate([owner[whole], np.repeat(owner[alike], n)])
     order = np.argsort(own, kind="stable")
-    pairs = np.stack([first, count], axis=1)[order]
-    cut = np.searchsorted(own[order], np.arange(len(parcels) + 1))
-    return [pairs[cut[i] : cut[i + 1]] for i in range(len(parcels))]
+    pairs, own = np.stack([first, count], axis=1)[order], own[order]
+    cut = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else []
+    return [int(own[i]) for i in cut], np.split(pairs, cut[1:]) if len(own) else []
 
 
 def _later(stretches: list[bytes], n: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
