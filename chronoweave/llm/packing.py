@@ -14,8 +14,8 @@ table in the shared folder.
 
 from __future__ import annotations
 
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,17 +37,13 @@ BATCH_BYTES = 4 << 20
 
 # ---- tokenising ----------------------------------------------------------------------
 
-#: Runs so long that the rank-based encoder takes quadratic time, and special tokens.
-_ODD = re.compile(r"\S{400}|\s{400}|<\|")
-
-
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str):
     """``text -> ids`` of the tokenizer file ``vocabulary``.
 
     Where the same vocabulary lies beside it as ranks, ordinary texts take the faster
-    rank-based encoder, whose ids are the same; texts with special tokens or very long
-    runs take the file itself.
+    rank-based encoder, whose ids are the same; texts that may have special tokens take the
+    file itself.
     """
     import os
 
@@ -69,7 +65,7 @@ def encoder(vocabulary: str):
     with open(ranked, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: slow(text) if _ODD.search(text) else fast(text)
+    return lambda text: slow(text) if "<|" in text else fast(text)
 
 
 def token_table(docs: DataFrame, vocabulary: str, *, end_id: int = END_ID) -> DataFrame:
@@ -83,7 +79,7 @@ def token_table(docs: DataFrame, vocabulary: str, *, end_id: int = END_ID) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part, sent = encoder(vocabulary), TaskContext.get().partitionId(), {}
+        encode, part, sent, end = encoder(vocabulary), TaskContext.get().partitionId(), {}, array("I", [end_id]).tobytes()
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
@@ -93,7 +89,7 @@ def token_table(docs: DataFrame, vocabulary: str, *, end_id: int = END_ID) -> Da
         rows, size = [], 0
         for batch in batches:
             for doc_id, source, text in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                source, ids = source.as_py(), np.array([*encode(text.as_py()), end_id], "<u4").tobytes()
+                source, ids = source.as_py(), array("I", encode(text.as_py())).tobytes() + end
                 rows.append((doc_id.as_py(), source, part, sent.get(source, 0), len(ids) // 4, ids))
                 sent[source] = sent.get(source, 0) + len(ids) // 4
                 size += len(ids)
