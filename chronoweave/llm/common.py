@@ -8,10 +8,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: How names of block tables begin.
+BLOCKS = "chronoweave_blocks_"
 #: One word of a text: a run of anything but space and the ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 _fallback: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -30,7 +33,21 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the work tables of this application, once no result of an operator is read any more."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+    for t in spark.catalog.listTables(pattern=f"{BLOCKS}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    return len(paths)
 
 
 def write_table(df: DataFrame, label: str) -> DataFrame:

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, text_or_empty, write_table
+from .common import BLOCKS, new_path, text_or_empty, write_table
 
 BLOCK_BYTES = 1 << 20
 #: Bytes that a task gathers for all buckets or shards before it sends them.
@@ -213,7 +213,7 @@ def block_table(docs: DataFrame, task: Task) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, BLOCK_DDL)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"chronoweave_blocks_{uuid.uuid4().hex}"
+    name = f"{BLOCKS}{uuid.uuid4().hex}"
     rows.repartition(buckets, "block").write.format("parquet").option("path", new_path(spark, "blocks")).option("compression", "none").bucketBy(buckets, "block").saveAsTable(name)
     return spark.table(name)
 

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoweave.llm import gif, langid, mixing, packing, pii, queries, warc
-from chronoweave.llm.common import join_hot
+from chronoweave.llm.common import join_hot, release
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, size long, target double, name string"
 
@@ -399,3 +399,12 @@ def test_pipeline(spark):
     assert words == Counter({i: n for i, n in taken.items() if n})
     tok = Tokenizer.from_file(queries.vocabulary())
     assert packed.agg(F.sum("length")).first()[0] == sum(len(tok.encode(r.text, add_special_tokens=False).ids) + 1 for r in mixed.collect())
+
+
+def test_work_tables_go(spark):
+    from chronoweave.llm import substring_dedup
+
+    assert substring_dedup.remove_repeats(docs(spark, [(1, "w " * 50, None, None)])).first().n_removed == 49
+    assert spark.catalog.listTables(pattern="chronoweave_blocks_*")
+    assert release(spark) > 0
+    assert not spark.catalog.listTables(pattern="chronoweave_blocks_*") and release(spark) == 0
