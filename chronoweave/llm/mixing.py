@@ -47,7 +47,7 @@ def water_fill(sources: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), shar
 
 
 def _piece_digits(rows: int) -> int:
-    digits = 1
+    digits = 2  # 256 pieces at least, so that those of a hot source spread evenly over the tasks
     while rows > PIECE_ROWS * 16**digits and digits < 8:
         digits += 1
     return digits
