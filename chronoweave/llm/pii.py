@@ -177,9 +177,10 @@ def confident_patterns(links: DataFrame, *, rounds: int = ROUNDS, least_support:
     candidate by the best of its patterns; seeds keep the score 1 for their kind.
     """
     edges = write_table(links.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.max("at_sign").alias("at_sign")), "pii-edges")
-    sizes = write_table(edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count("kind").alias("seeded")).where((F.col("n") >= least_support) & (F.col("seeded") > 0)), "pii-patterns")
+    sizes = write_table(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_support), "pii-patterns")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    # Patterns below the least support never count, so their links end here.
+    # Patterns below the least support never count, so their links end here. One without a seed
+    # stays: a later round may reach it through what another pattern found.
     graph = write_table(join_hot(edges, sizes, "pattern", "n", total), "pii-graph")
     known = graph.where("kind is not null").select("pattern", "n", "kind", "instance", F.lit(1.0).alias("score"))
     open_ = graph.where("kind is null").select("pattern", "n", "instance", "at_sign")
