@@ -14,6 +14,7 @@ table in the shared folder.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,6 +34,9 @@ QUANTUM = 64
 LANE = 1024
 END_ID = 1
 BATCH_BYTES = 4 << 20
+#: A run of white space that the rank-based encoder is not given.
+LONG_SPACE = 100_000
+_SPACE = re.compile(r"\s+")
 
 
 # ---- tokenising ----------------------------------------------------------------------
@@ -42,8 +46,8 @@ def encoder(vocabulary: str):
     """``text -> ids`` of the tokenizer file ``vocabulary``.
 
     Where the same vocabulary lies beside it as ranks, ordinary texts take the faster
-    rank-based encoder, whose ids are the same; texts that may have special tokens take the
-    file itself.
+    rank-based encoder, whose ids are the same; texts that may have special tokens, or have a
+    run of ``LONG_SPACE`` spaces, take the file itself: near a million the other one panics.
     """
     import os
 
@@ -65,7 +69,12 @@ def encoder(vocabulary: str):
     with open(ranked, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    return lambda text: slow(text) if "<|" in text else fast(text)
+    return lambda text: slow(text) if "<|" in text or has_long_space(text) else fast(text)
+
+
+def has_long_space(text: str) -> bool:
+    """Whether ``LONG_SPACE`` characters of white space follow each other; in one pass."""
+    return len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(text))
 
 
 def token_table(docs: DataFrame, vocabulary: str, *, end_id: int = END_ID) -> DataFrame:
