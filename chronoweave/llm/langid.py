@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 BINS = 1 << 16
-#: Labelled rows of a language that are fitted, about; the sample is drawn by a hash of the text.
+#: Different labelled texts of a language that are fitted, about; the sample is drawn by a hash of the text.
 SAMPLE_ROWS = 2000
 SMOOTHING = 0.2
 STEPS = 6
@@ -170,15 +170,17 @@ class Model:
 def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from ``text, lang``; rows without a language are left out.
 
-    Of each language about ``sample_rows`` texts are fitted, all of them where there are fewer.
+    Of each language about ``sample_rows`` different texts are fitted, all of them where there are
+    fewer; a text counts once, however often it is repeated.
     """
     plain = labelled.where("lang is not null and text is not null")
-    counts = {r[0]: r[1] for r in plain.groupBy("lang").count().collect()}
+    drawn = F.xxhash64("text", F.lit("sample"))
+    counts = {r[0]: r[1] for r in plain.select("lang", drawn.alias("drawn")).distinct().groupBy("lang").count().collect()}
     if not counts:
         return Model([], np.zeros((BINS, 1), np.float32))
     scale = 1 << 30
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(scale, scale * sample_rows // n))])
-    sample = plain.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(scale)) < F.element_at(rate, F.col("lang"))).select("lang", "text")
+    sample = plain.where(F.pmod(drawn, F.lit(scale)) < F.element_at(rate, F.col("lang"))).select("lang", "text").distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
