@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -20,6 +21,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", "/tmp/chronoweave-warehouse")
+        .config("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="chronoweave-shared-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
