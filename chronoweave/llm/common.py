@@ -1,65 +1,68 @@
-"""What the corpus operators share: work tables, hot-key joins, table readers."""
+"""What the corpus operators share: work tables, rows that stay where they are, hot-key joins, table readers."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: How names of block tables begin.
-BLOCKS = "chronoweave_blocks_"
+from ..sources.staging import made, new_path, new_table, release, shared_folder, stage
+
+__all__ = ["WORD", "attach", "buckets", "join_hot", "made", "new_path", "new_table", "numbered", "release", "shared_folder", "spread", "table", "text_or_empty", "write_bucketed", "write_table"]
+
 #: One word of a text: a run of anything but space and the ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Buckets of a table at most.
+MOST_BUCKETS = 50_000
 
-_fallback: dict[str, str] = {}
-_written: dict[str, list[str]] = {}
+write_table = stage
 
 
-def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of few row groups, dealt over the cores before heavy work on each row.
 
-    A folder of this machine serves only where ``spark.checkpoint.dir`` is unset, as in
-    tests on one machine.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback:
-        _fallback[app] = "file://" + tempfile.mkdtemp(prefix="chronoweave-")
-    return _fallback[app]
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return path
-
-
-def release(spark: SparkSession) -> int:
-    """Delete the work tables of this application, once no result of an operator is read any more."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
-    for t in spark.catalog.listTables(pattern=f"{BLOCKS}*"):
-        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
-    return len(paths)
-
-
-def write_table(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again.
-
-    What was written survives lost executors. The schema is given to the reader, so an
-    empty table reads back as well.
+    A scan with two partitions a core or more stays as it is, and so does any other plan.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString() or df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(2 * cores)
+
+
+def buckets(spark: SparkSession) -> int:
+    """Buckets of a work table: several a shuffle partition, so that they come out even."""
+    return min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_bucketed(df: DataFrame, label: str, column: str, *, compression: str | None = None) -> DataFrame:
+    """``df`` as a table bucketed by ``column``; each task writes its own rows, so none is shuffled."""
+    spark = df.sparkSession
+    name, out = new_table(spark, "rows"), df.write.format("parquet").option("path", new_path(spark, label))
+    out = out.option("compression", compression) if compression else out
+    out.bucketBy(buckets(spark), column).saveAsTable(name)
+    return spark.table(name)
+
+
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df``, written with ``__part``, the task that wrote a row, and ``__slot``, its place there.
+
+    The table is bucketed by ``__part``: what :func:`attach` adds comes to the rows.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int")
+    return write_bucketed(df.withColumns({"__part": F.spark_partition_id(), "__slot": place}), label, "__part")
+
+
+def attach(rows: DataFrame, facts: DataFrame, value: str) -> DataFrame:
+    """The rows of a :func:`numbered` table with ``value`` of ``facts``, which has one for each ``__part, __slot``.
+
+    The values of a part are gathered into an array in the order of the slots and meet the
+    part's bucket there. Only they are shuffled; their number in an array is that of the
+    rows that one task has read.
+    """
+    own = F.transform(F.array_sort(F.collect_list(F.struct("__slot", F.col(value).alias("v")))), lambda x: x.v)
+    per = facts.groupBy(F.col("__part").alias("__of")).agg(own.alias("__values"))
+    met = rows.join(per.hint("shuffle_hash"), F.col("__part") == F.col("__of"))
+    return met.withColumn(value, F.get("__values", F.col("__slot"))).drop("__part", "__slot", "__of", "__values")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,6 @@ one by one, by a hash of the whole window.
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCKS, new_path, text_or_empty, write_table
+from .common import spread, text_or_empty, write_bucketed, write_table
 
 BLOCK_BYTES = 1 << 20
 #: Bytes that a task gathers for all buckets or shards before it sends them.
@@ -211,11 +210,8 @@ def block_table(docs: DataFrame, task: Task) -> DataFrame:
         if ids:
             yield out()
 
-    rows = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, BLOCK_DDL)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"{BLOCKS}{uuid.uuid4().hex}"
-    rows.repartition(buckets, "block").write.format("parquet").option("path", new_path(spark, "blocks")).option("compression", "none").bucketBy(buckets, "block").saveAsTable(name)
-    return spark.table(name)
+    rows = spread(docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))).mapInArrow(run, BLOCK_DDL)
+    return write_bucketed(rows.repartition("block"), "blocks", "block", compression="none")
 
 
 def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
