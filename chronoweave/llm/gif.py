@@ -9,15 +9,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import spread, text_or_empty, write_table
 
 #: Samples in a row of a stored picture, and rows in a frame at most.
 ROW, ROWS = 576, 64
 DELAY_CS = 4
 BATCH_BYTES = 4 << 20
+#: Pixels of a canvas or a picture at most; a file that claims more is an error, not a smaller picture.
+MOST_PIXELS = 1 << 26
+#: Bins of a channel's histogram.
+BINS = 8
 _LIMIT = 4096
 
 
@@ -83,7 +87,7 @@ def _codes(stream: np.ndarray, at: int, width: int, n: int) -> np.ndarray:
 
 
 def lzw_decode(data: bytes, bits: int, size: int) -> bytes:
-    """``size`` samples of a code stream; one that breaks off or goes wrong is filled with 0."""
+    """``size`` samples of a code stream; fewer where it breaks off or goes wrong."""
     clear, end = 1 << bits, (1 << bits) + 1
     stream = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
     base: list[bytes] = [bytes([i]) for i in range(clear)] + [b"", b""]
@@ -120,8 +124,7 @@ def lzw_decode(data: bytes, bits: int, size: int) -> bytes:
             if not len(codes):
                 over = True
         done = sum(map(len, out)) if not over else done
-    whole = b"".join(out)[:size]
-    return whole + bytes(size - len(whole))
+    return b"".join(out)[:size]
 
 
 # ---- files ---------------------------------------------------------------------------
@@ -158,7 +161,7 @@ class Frame:
 
 
 class BadGif(ValueError):
-    """Not a GIF, or one that ends before its first picture."""
+    """Not a GIF, or one that breaks off; the frames before that are there."""
 
 
 def _table(data: bytes, at: int, flags: int) -> tuple[np.ndarray | None, int]:
@@ -180,14 +183,18 @@ def frames(data: bytes) -> Iterator[Frame]:
     """Rendered frames in order, under each frame's palette, transparency and disposal.
 
     Disposal 2 clears the frame's rectangle after it was shown, 3 brings back what was
-    there before. The picture of a frame is reused for the next one; copy what is kept.
+    there before. The picture of a frame is reused for the next one; copy what is kept. A
+    picture that breaks off is filled with colour 0; a file that breaks off anywhere raises
+    ``BadGif`` after the frames it has, one that claims more than ``MOST_PIXELS`` at once.
     """
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         raise BadGif("no GIF header")
     word = lambda i: int.from_bytes(data[i : i + 2], "little")
     width, height = word(6), word(8)
+    if width * height > MOST_PIXELS:
+        raise BadGif(f"a canvas of {width} x {height}")
     palette, at = _table(data, 13, data[10])
-    canvas = np.zeros((height, width, 3), np.uint8)
+    canvas, fault = None, ""
     disposal, delay, clear, index, clock = 0, 0, None, 0, 0
     while at < len(data) and data[at] != 0x3B:
         if data[at] == 0x21:
@@ -197,15 +204,22 @@ def frames(data: bytes) -> Iterator[Frame]:
                 clear = body[3] if body[0] & 1 else None
             continue
         if data[at] != 0x2C or at + 10 > len(data):
+            fault = "no block is known by its first byte" if at + 10 <= len(data) else "breaks off"
             break
         x, y, w, h, flags = word(at + 1), word(at + 3), word(at + 5), word(at + 7), data[at + 9]
         local, at = _table(data, at + 10, flags)
         colours = local if local is not None else palette
         bits = data[at] if at < len(data) else 0
         stream, at = _join(data, at + 1)
-        if not 1 <= bits <= 11 or colours is None:
+        if not 1 <= bits <= 11 or colours is None or w * h > MOST_PIXELS:
+            fault = "a picture without colours, code size or bounds"
             break
-        plane = np.frombuffer(lzw_decode(stream, bits, w * h), np.uint8).reshape(h, w)
+        samples = lzw_decode(stream, bits, w * h)
+        if len(samples) < w * h:
+            fault, samples = "a picture breaks off", samples + bytes(w * h - len(samples))
+        plane = np.frombuffer(samples, np.uint8).reshape(h, w)
+        if canvas is None:
+            canvas = np.zeros((height, width, 3), np.uint8)
         if flags & 0x40:
             order = np.concatenate([np.arange(a, h, b) for a, b in ((0, 8), (4, 8), (2, 4), (1, 2))])
             rows = np.empty_like(plane)
@@ -226,11 +240,11 @@ def frames(data: bytes) -> Iterator[Frame]:
             box[:] = before
         index, clock = index + 1, clock + delay
         disposal, delay, clear = 0, 0, None
-    if not index:
-        raise BadGif("no picture")
+    if not index or fault or at >= len(data):
+        raise BadGif(fault or ("breaks off" if index else "no picture"))
 
 
-def histogram(pixels: np.ndarray, bins: int = 8) -> np.ndarray:
+def histogram(pixels: np.ndarray, bins: int = BINS) -> np.ndarray:
     """Counts of equal bins of each channel, red first."""
     return np.stack([np.bincount(pixels[..., c].ravel() >> (8 - bins.bit_length() + 1), minlength=bins) for c in range(3)])
 
@@ -244,9 +258,17 @@ def payload_of(text: str) -> bytes:
 
 
 def encode_texts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, media binary``: each whole text as a GIF; null counts as empty."""
+    """``doc_id, n_bytes, media binary``: each whole text as a GIF; null counts as empty.
+
+    One row per input row, repeated ones too, equal texts the same bytes. A text of any length is
+    one file; what a task holds is a batch of rows and the file it makes. Other columns are
+    ignored; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+
         for batch in batches:
             ids, sizes, media, held = [], [], [], 0
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -256,13 +278,13 @@ def encode_texts(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
                 media.append(encode_samples(payload_of(text)))
                 held += len(media[-1])
                 if held > BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+                    yield out()
                     ids, sizes, media, held = [], [], [], 0
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+                yield out()
 
     plain = docs.select(F.col("doc_id").cast("long"), text_or_empty(text_col).alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return spread(plain).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 FRAME_SCHEMA = (
@@ -274,7 +296,8 @@ FRAME_SCHEMA = (
 def frame_rows(media: DataFrame, *, pixels: bool = True) -> DataFrame:
     """One row per timed frame of ``doc_id, media``: rendered pixels and histograms by channel.
 
-    A null or broken file gives one row with ``error`` and nothing else.
+    A null or broken file gives a row with ``error`` after the frames it has. Rows are read one by
+    one, repeated identifiers too; an empty table gives no rows.
     """
     names = [x.split(" ")[0] for x in FRAME_SCHEMA.split(", ")]
     longs = pa.list_(pa.int64())
@@ -299,33 +322,69 @@ def frame_rows(media: DataFrame, *, pixels: bool = True) -> DataFrame:
     return media.select("doc_id", "media").mapInArrow(run, FRAME_SCHEMA)
 
 
-def read_back(media: DataFrame) -> DataFrame:
-    """Per stored text, what its rendered frames say.
-
-    ``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256,
-    feature``. The payload is the red channel of what each frame drew; the feature has the
-    number of frames, their time and eight counts of the red channel.
+SHOWN_SCHEMA = (
+    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
+    "frames array<struct<frame: int, start_ms: bigint, delay_ms: bigint, x: int, y: int, width: int, height: int, red: array<bigint>, green: array<bigint>, blue: array<bigint>>>"
+)
+_COUNTS = pa.list_(pa.int64())
+_FRAME = pa.struct([("frame", pa.int32()), ("start_ms", pa.int64()), ("delay_ms", pa.int64()), *[(c, pa.int32()) for c in ("x", "y", "width", "height")], ("red", _COUNTS), ("green", _COUNTS), ("blue", _COUNTS)])
+_SHOWN = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()),
+        ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("frames", pa.list_(_FRAME)),
+    ]
+)
+
+
+def shown(media: DataFrame) -> DataFrame:
+    """What stored texts show: ``doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, frames``.
+
+    The payload is the red channel of what each rendered frame drew. ``frames`` are the timed
+    frames in order, each with its rectangle and a histogram of the rectangle by channel. One
+    row per row of ``doc_id, n_bytes, media``; a broken file is an error, as the files are our own.
     """
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    names = [x.split(" ")[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc_id, n_bytes, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 data = data.as_py()
-                digest, size, tail, counts, shown, clock = hashlib.sha256(), 0, b"", np.zeros(8, np.int64), 0, 0
+                digest, size, tail, seen = hashlib.sha256(), 0, b"", []
                 for f in frames(data):
                     x, y, w, h = f.box
-                    part = f.picture[y : y + h, x : x + w, 0]
-                    body = part.tobytes()
+                    part = f.picture[y : y + h, x : x + w]
+                    body = part[..., 0].tobytes()
                     digest.update(body)
                     size, tail = size + len(body), (tail + body)[-32:]
-                    counts += np.bincount(part.ravel() >> 5, minlength=8)
-                    shown, clock = shown + 1, clock + f.delay_ms
-                feature = f"frames={shown};ms={clock};red={','.join(map(str, counts.tolist()))}"
-                rows.append((doc_id, n_bytes, size, digest.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), feature))
+                    red, green, blue = histogram(part).tolist()
+                    seen.append({"frame": f.index, "start_ms": f.start_ms, "delay_ms": f.delay_ms, "x": x, "y": y, "width": w, "height": h, "red": red, "green": green, "blue": blue})
+                rows.append((doc_id, n_bytes, size, digest.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), seen))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) if i not in (0,) else pa.array(c, pa.int64()) for i, c in enumerate(zip(*rows, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*rows, strict=True), _SHOWN, strict=True)], schema=_SHOWN)
+
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, SHOWN_SCHEMA)
+
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+def feature(seen: str = "frames") -> Column:
+    """Frames, their time, and the sum of their histograms by channel, as one string."""
+
+    def total(name: str, i: int) -> Column:
+        return F.aggregate(F.col(seen), F.lit(0).cast("long"), lambda a, f: a + f[name][i]).cast("string")
+
+    def channel(name: str) -> Column:
+        return F.concat(F.lit(f";{name}="), F.concat_ws(",", *[total(name, i) for i in range(BINS)]))
+
+    time = F.aggregate(F.col(seen), F.lit(0).cast("long"), lambda a, f: a + f["delay_ms"])
+    return F.concat(F.lit("frames="), F.size(seen).cast("string"), F.lit(";ms="), time.cast("string"), *map(channel, ("red", "green", "blue")))
+
+
+def store_texts(docs: DataFrame) -> DataFrame:
+    """Each whole text as a stored GIF, and what is read back from it.
+
+    The files are written as a table, read from there and decoded; their timed frames with
+    histograms are written as columns of a second one, which the result is read from:
+    the columns of :func:`shown` but ``frames``, and ``feature``.
+    """
+    media = write_table(encode_texts(docs), "gif-media")
+    seen = write_table(shown(media), "gif-frames")
+    return seen.withColumn("feature", feature()).drop("frames")

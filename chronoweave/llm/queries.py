@@ -34,7 +34,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gif.read_back(gif.encode_texts(table(spark, sf_dir, "documents")))
+    return gif.store_texts(table(spark, sf_dir, "documents"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

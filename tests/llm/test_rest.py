@@ -159,7 +159,7 @@ def test_lzw_round_trip():
         assert gif.lzw_decode(gif.lzw_encode(data, bits), bits, n) == data
         low = bytes(rng.choice(data[:3] or b"\0") for _ in range(n))
         assert gif.lzw_decode(gif.lzw_encode(low, bits), bits, n) == low
-    assert gif.lzw_decode(b"", 8, 4) == bytes(4)
+    assert gif.lzw_decode(b"", 8, 4) == b""
 
 
 def test_lzw_by_a_plain_decoder():
@@ -210,18 +210,39 @@ def test_gif_disposal_and_transparency():
 
 
 def test_gif_columns(spark):
-    texts = [None, "", "a", "é" * 288, "b" * 577, "long " * 60_000]
-    media = gif.encode_texts(docs(spark, [(i, t, None, None) for i, t in enumerate(texts)]))
-    for r in gif.read_back(media).collect():
-        body = (texts[r.doc_id] or "").encode()
+    texts = [None, "", "a", "é" * 288, "b" * 577, "long " * 60_000, "a"]
+    table = docs(spark, [(i, t, None, None) for i, t in enumerate(texts)] + [(2, "a", None, None), (None, "x", None, None)])
+    got = gif.store_texts(table).collect()
+    assert sorted(((r.doc_id, r.n_bytes) for r in got), key=repr) == sorted([*((i, len((t or "").encode())) for i, t in enumerate(texts)), (2, 1), (None, 1)], key=repr)
+    for r in got:
+        body = (texts[r.doc_id] or "").encode() if r.doc_id is not None else b"x"
         want = body + b"\xff" * (-len(body) % 576 or (576 if not body else 0))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(body), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-32:]))
+        media = gif.encode_samples(want)
+        assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
+        shown = -(-len(want) // (576 * 64))
+        counts = ",".join(str(sum(v >> 5 == i for v in want)) for i in range(8))
+        assert r.feature == f"frames={shown};ms={40 * shown};red={counts};green={counts};blue={counts}"
+    media = gif.encode_texts(table)
     frames = gif.frame_rows(media).where("doc_id = 5").orderBy("frame").collect()
     assert b"".join(bytes(f.pixels)[: f.box_width * f.box_height * 3][::3] for f in frames)[:300_000] == texts[5].encode()
     assert all(sum(f.red) == f.width * f.height for f in frames) and [f.start_ms for f in frames[:2]] == [0, 40]
-    bad = spark.createDataFrame([(1, bytearray(b"no gif")), (2, None)], "doc_id long, media binary")
-    assert gif.frame_rows(bad).where("error is not null").count() == 2
-    assert gif.read_back(gif.encode_texts(docs(spark, []))).count() == 0
+    assert gif.store_texts(docs(spark, [])).count() == 0
+
+
+def test_broken_gifs(spark):
+    good = picture([(0, [0, 0], 1, None), (1, [1], 1, None)])
+    huge = b"GIF89a" + b"\xff" * 4 + good[10:]
+    wide = bytearray(good)
+    at = good.index(b"\x2c")
+    wide[at + 5 : at + 9] = b"\xff" * 4
+    second = good.index(b"\x2c", at + 1)
+    files = {1: b"no gif", 2: None, 3: huge, 4: bytes(wide), 5: good[:-1], 6: good[: second + 4], 7: good[: second + 12], 8: good, 9: good[:13], 10: b""}
+    rows = [(i, None if d is None else bytearray(d)) for i, d in files.items()]
+    got = defaultdict(lambda: [0, 0])
+    for r in gif.frame_rows(spark.createDataFrame(rows, "doc_id long, media binary")).collect():
+        got[r.doc_id][r.error is not None] += 1
+    assert dict(got) == {1: [0, 1], 2: [0, 1], 3: [0, 1], 4: [0, 1], 5: [2, 1], 6: [1, 1], 7: [2, 1], 8: [2, 0], 9: [0, 1], 10: [0, 1]}
 
 
 # ---- language ------------------------------------------------------------------------
