@@ -53,14 +53,19 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
 
 
 def attach(rows: DataFrame, facts: DataFrame, value: str) -> DataFrame:
-    """The rows of a :func:`numbered` table with ``value`` of ``facts``, which has one for each ``__part, __slot``.
+    """The rows of a :func:`numbered` table with ``value`` of ``facts (__part, __slot, value)``, null where there is none.
 
     The values of a part are gathered into an array in the order of the slots and meet the
-    part's bucket there. Only they are shuffled; their number in an array is that of the
-    rows that one task has read.
+    part's bucket there. Only they are shuffled, never ``rows``; their number in an array is that
+    of the rows that one task has read. ``facts`` has one row for a row at most.
     """
-    own = F.transform(F.array_sort(F.collect_list(F.struct("__slot", F.col(value).alias("v")))), lambda x: x.v)
-    per = facts.groupBy(F.col("__part").alias("__of")).agg(own.alias("__values"))
+    kind = facts.schema[value].dataType
+    own = facts.select("__part", "__slot", F.col(value).alias("v"))
+    every = rows.select("__part", "__slot", F.lit(None).cast(kind).alias("v")).unionByName(own)
+    # Of a slot with a value there are two entries, and the one with the value comes last.
+    per = every.groupBy(F.col("__part").alias("__of")).agg(F.array_sort(F.collect_list(F.struct("__slot", "v"))).alias("__all"))
+    last = F.filter("__all", lambda x, i: ~F.get("__all", i + 1)["__slot"].eqNullSafe(x["__slot"]))
+    per = per.select("__of", F.transform(last, lambda x: x["v"]).alias("__values"))
     met = rows.join(per.hint("shuffle_hash"), F.col("__part") == F.col("__of"))
     return met.withColumn(value, F.get("__values", F.col("__slot"))).drop("__part", "__slot", "__of", "__values")
 

@@ -3,7 +3,9 @@
 DataFrame operations only. The targets come from one small row per source. The repetitions
 need a running total of each source in a seeded order; a source may hold a third of all
 rows, so it is cut by the leading digits of the seeded key: one sum per piece, a running
-total over the pieces, and a running total inside each piece.
+total over the pieces, and a running total inside each piece. Rows that share an identifier, or
+have none, are ordered by their text instead, and equal rows of that kind are one entry of the
+order, so none of them piles up either.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_or_empty, write_table
+from .common import WORD, attach, join_hot, numbered, text_or_empty, write_table
 
 SEED = "mix-7"
 #: Rows of a source that one piece of its order holds, about.
@@ -53,52 +55,104 @@ def _piece_digits(rows: int) -> int:
     return digits
 
 
-def mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per input row: ``doc_id, size, source_size, target, taken, whole, part``.
+def _place(column: str) -> Column:
+    """A key for a value that may be missing; a missing one is the last."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
-    ``size`` counts words (null text: none) and ``taken = whole * size + part`` the words that
-    the mix takes: every document of a source ``whole`` times, then, in an order seeded by the
-    identifier, once more until the source's target is met; the last of these gives the
-    first ``part`` words only. A source's taken words are its target rounded, no document
-    exceeds ``max_epochs`` times its size, and a rerun takes the same. Null identifiers
-    share one place in the order; equal rows are interchangeable. Null is a source.
-    """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    sized = write_table(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).cast("string").alias("source"),
-            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
-            key.alias("key"),
+
+def _sized(rows: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """What the decision needs of each row of a numbered table."""
+    return write_table(
+        rows.select(
+            "__part", "__slot", F.col(id_col).alias("doc_id"), _place(id_col).alias("named"), F.col(source_col).cast("string").alias("source"),
+            F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"), F.md5(text_or_empty(text_col)).alias("digest"),
         ),
         "mix-sized",
-    )
-    per_source = write_table(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), "mix-sources")
-    digits = _piece_digits(per_source.agg(F.max("rows")).first()[0] or 0)
+    )
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``__part, __slot, name, key, size, nth, rows`` of rows whose identifier is missing or repeated.
+
+    The key comes of identifier and text. Rows of equal source, key and size are one entry of
+    ``rows`` rows, and ``nth`` counts them: over parts, of which there are few, then within one.
+    """
+    entry = ["name", "key", "size"]
+    per_part = rows.groupBy(*entry, "__part").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*entry).orderBy("__part")
+    based = write_table(per_part.withColumn("base", F.sum("n").over(w) - F.col("n")).withColumn("rows", F.sum("n").over(Window.partitionBy(*entry))), "mix-parts")
+    inside = Window.partitionBy("__part", *entry).orderBy("__slot")
+    ranked = rows.withColumn("place", F.row_number().over(inside) - 1)
+    return ranked.join(based.drop("n"), ["__part", *entry]).withColumn("nth", F.col("base") + F.col("place"))
 
-    def name(c: str = "source") -> Column:
-        return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")).alias("name")
 
+def decide(sized: DataFrame, *, weights: tuple[int, ...], share: float, max_epochs: int, seed: str) -> DataFrame:
+    """``sized`` with ``source_size, target, whole, part`` for each row."""
+    per_source = write_table(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), "mix-sources")
+    most, total = per_source.agg(F.max("rows"), F.sum("rows")).first()
+    digits = _piece_digits(most or 0)
     targets = water_fill(per_source.drop("rows"), weights=weights, share=share, max_epochs=max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = targets.withColumn("whole", whole).withColumn("extra", F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5).cast("long"))
-
-    pieced = sized.select("doc_id", name(), F.substring("key", 1, digits).alias("piece"), "key", "size")
+    targets = targets.withColumn("name", _place("source")).drop("source")
+
+    plain = sized.withColumn("name", _place("source"))
+    ident = F.when(F.col("doc_id").isNull(), F.lit("null")).otherwise(F.col("doc_id").cast("string"))
+    alone = F.md5(F.concat(F.lit(f"{seed}:"), ident))
+    by_text = F.md5(F.concat(F.lit(f"{seed}:"), ident, F.lit(":"), F.col("digest")))
+    again = write_table(plain.groupBy("named").agg(F.count("*").alias("again")).where("again > 1 or named = 'null'"), "mix-again")
+    columns = ["__part", "__slot", "doc_id", "name", "size", "key"]
+    if again.isEmpty():
+        single, many, entries = plain.withColumn("key", alone).select(*columns), None, None
+    else:
+        names = again.select("named")
+        single = plain.join(names, "named", "left_anti").withColumn("key", alone).select(*columns)
+        held = join_hot(plain, again, "named", "again", total or 0).withColumn("key", by_text).select(*columns)
+        many = write_table(_repeated(held), "mix-repeated")
+        entries = many.groupBy("name", "key", "size").agg(F.first("rows").alias("rows"))
+
+    one = F.lit(1).cast("long")
+    order = single.select("name", "key", "size", "doc_id", "__part", "__slot", one.alias("rows"))
+    if entries is not None:
+        order = order.unionByName(entries, allowMissingColumns=True)
+    order = order.withColumn("piece", F.substring("key", 1, digits)).withColumn("words", F.col("size") * F.col("rows"))
     starts = (
-        pieced.groupBy("name", "piece")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("start", F.sum("words").over(Window.partitionBy("name").orderBy("piece")) - F.col("words"))
-        .drop("words")
-        .join(targets.withColumn("name", name()).drop("source"), "name")
+        order.groupBy("name", "piece")
+        .agg(F.sum("words").alias("sum"))
+        .withColumn("start", F.sum("sum").over(Window.partitionBy("name").orderBy("piece")) - F.col("sum"))
+        .drop("sum")
+        .join(targets, "name")
     )
     inside = Window.partitionBy("name", "piece").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = pieced.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("extra") - F.col("start") - F.col("ahead")))
-    return (
-        ordered.join(starts, ["name", "piece"])
-        .withColumn("part", part)
-        .select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"), "whole", "part")
-    )
+    ahead = order.withColumn("ahead", F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    placed = ahead.join(starts, ["name", "piece"]).withColumn("ahead", F.col("start") + F.col("ahead"))
+    facts = ["source_size", "target", "whole", "extra", "ahead"]
+    if many is not None:
+        placed = write_table(placed.select("name", "key", "size", "doc_id", "__part", "__slot", "rows", *facts), "mix-placed")
+        spots = placed.where("__part is null").select("name", "key", "size", "rows", *facts).withColumn("entry", F.concat_ws(":", "key", "size", "name"))
+        rows = many.withColumn("entry", F.concat_ws(":", "key", "size", "name")).select("__part", "__slot", "doc_id", "entry", "nth")
+        met = join_hot(rows, spots.drop("name", "key"), "entry", "rows", total or 0).withColumn("ahead", F.col("ahead") + F.col("nth") * F.col("size"))
+        placed = placed.where("__part is not null").select("__part", "__slot", "doc_id", "size", *facts).unionByName(met.select("__part", "__slot", "doc_id", "size", *facts))
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("extra") - F.col("ahead")))
+    return placed.select("__part", "__slot", "doc_id", "size", "source_size", "target", "whole", part.alias("part"))
+
+
+def mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per input row: ``doc_id, size, source_size, target, taken, whole, part``.
+
+    ``size`` counts words (null text: none) and ``taken = whole * size + part`` the words that
+    the mix takes: every document of a source ``whole`` times, then, in an order seeded by the
+    identifier, once more until the source's target is met; the last of these gives the
+    first ``part`` words only. A source's taken words are its target rounded, no document
+    exceeds ``max_epochs`` times its size, and a rerun takes the same. Rows without an identifier,
+    or with a repeated one, have their place by identifier and text; equal ones are
+    interchangeable. Null is a source. Texts of any length are counted whole; other columns are
+    ignored; an empty table gives no rows.
+    """
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
+    placed = plain.withColumns({"__part": F.spark_partition_id(), "__slot": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int")})
+    decided = decide(_sized(placed, "doc_id", "text", "source"), weights=weights, share=share, max_epochs=max_epochs, seed=seed)
+    return decided.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).alias("taken"), "whole", "part")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -107,24 +161,26 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(spaced, F.lit(1), n.cast("int")), "")
 
 
-def materialise(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of the mix, with the columns of ``docs``: each document as often as taken.
+def materialise(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: str = SEED) -> DataFrame:
+    """The rows of the mix, with the columns of ``docs``: each row as often as :func:`mix` takes it.
 
-    A document taken for ``part`` of its words ends after them; one that is taken for nothing
-    goes. ``n_chars``, where there is one, follows the text. Rows that share an identifier
-    share the largest decision.
+    A row taken for ``part`` of its words ends after them; one that is taken for nothing
+    goes. ``n_chars``, where there is one, follows the text. Decisions are by row, also for repeated and
+    missing identifiers; all other columns come through, whatever their names. Texts are
+    written once, and only decisions move.
     """
-    choice = mixed.groupBy("doc_id").agg(F.max(F.struct("whole", "part", "size")).alias("choice"))
-    once_more = F.when(F.col("choice.part") == F.col("choice.size"), 1).otherwise(0)
-    full = F.when(F.col("choice.size") > 0, F.col("choice.whole") + once_more).otherwise(0)
-    cut = (F.col("choice.part") > 0) & (F.col("choice.part") < F.col("choice.size"))
+    rows = numbered(docs, "mix-rows")
+    decided = decide(_sized(rows, "doc_id", "text", "source"), weights=weights, share=share, max_epochs=max_epochs, seed=seed)
+    once_more = F.when(F.col("part") == F.col("size"), 1).otherwise(0)
+    full = F.when(F.col("size") > 0, F.col("whole") + once_more).otherwise(0).cast("int")
+    rest = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), F.col("part")).otherwise(0).cast("int")
+    held = attach(rows, decided.select("__part", "__slot", F.struct(full.alias("full"), rest.alias("rest")).alias("__choice")), "__choice")
     copies = F.concat(
-        F.array_repeat(F.col("text"), full.cast("int")),
-        F.when(cut, F.array(first_words(F.col("text"), F.col("choice.part")))).otherwise(F.array().cast("array<string>")),
+        F.array_repeat(F.col("text"), F.col("__choice.full")),
+        F.when(F.col("__choice.rest") > 0, F.array(first_words(F.col("text"), F.col("__choice.rest")))).otherwise(F.array().cast("array<string>")),
     )
-    named = docs.withColumnRenamed("doc_id", "_id").join(choice.withColumnRenamed("doc_id", "_key"), F.col("_id").eqNullSafe(F.col("_key")))
-    out = named.withColumn("_text", F.explode(copies))
-    shown = {"doc_id": F.col("_id"), "text": F.col("_text"), "n_chars": F.char_length("_text").cast("long")}
+    out = held.withColumn("__text", F.explode(copies))
+    shown = {"text": F.col("__text"), "n_chars": F.char_length("__text").cast("long")}
     return out.select(*[shown.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from chronoweave.llm import exact_dedup, passages, simhash, substring_dedup, suffix_dedup
 from chronoweave.llm.components import connected_components
@@ -62,6 +63,32 @@ def test_exact(spark, keep):
     assert exact_dedup.exact_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["largest", "smallest"])
+def test_without_copies(spark, keep):
+    rows = [*corpus(), (1, "tie"), (None, "tie"), (2, "tie"), (2, "tie"), (None, "alone"), (None, "twice"), (None, "twice"), (None, "")]
+    df = docs(spark, rows, 7).withColumn("__run1", F.lit(1))
+    kept = exact_dedup.without_copies(df, keep=keep, fan_in=2)
+    assert kept.columns == df.columns
+    groups: dict = {}
+    for i, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    pick = max if keep == "largest" else min
+    want = [(pick((i for i in g if i is not None), default=None), t) for t, g in groups.items()]
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    assert exact_dedup.without_copies(docs(spark, [])).count() == 0
+
+
+def test_exact_runs_are_merged_in_order(spark, monkeypatch):
+    """One exchange folds the runs, one deals them; every round after that merges sorted rows in place."""
+    seen = []
+    write = exact_dedup.write_table
+    monkeypatch.setattr(exact_dedup, "write_table", lambda df, label: (seen.append((label, df._jdf.queryExecution().executedPlan().toString())), write(df, label))[1])
+    exact_dedup.exact_duplicates(docs(spark, corpus(), 40), fan_in=4).count()
+    plan = dict(seen)["exact-merged"]
+    assert plan.count("Exchange") == 2 and plan.count("Sort [") == 3  # a run where it was read, where it was folded, and all rounds
+    assert plan.count("SortAggregate") >= 6 and "HashAggregate" not in plan
+
+
 def test_exact_is_native(spark):
     plan = exact_dedup.exact_duplicates(docs(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

@@ -302,12 +302,48 @@ def test_warc(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(content)
     (tmp_path / "b.warc.gz").write_bytes(gzip.compress(content))
     recs = warc.records(warc.read_files(spark, str(tmp_path)))
-    assert recs.count() == 2 * 3 * len(rows)
-    nested = warc.transactions(recs)
-    assert nested.count() == len(rows)
-    one = nested.where("metadata.fields['page-id'] = '8'").first()
-    assert bytes(one.response.payload) == rows[-1][2].encode() and one.request.type == "request"
-    assert list(warc.parse_records(content[:-5]))[-1][1]["warc-type"] == "revisit" or True
+    assert recs.count() == 2 * 3 * len(rows) and recs.where("error is not null").count() == 0
+    for direct in (True, False):
+        nested = warc.transactions(recs, direct=direct)
+        assert nested.count() == len(rows)
+        one = nested.where("metadata.fields['page-id'] = '8'").first()
+        assert bytes(one.response.payload) == rows[-1][2].encode() and one.request.type == "request"
+
+
+def test_warc_repeated_and_long_pages(spark):
+    big = "p" * 3_000_000
+    rows = [(1, "u", big), (1, "u", big), (None, None, big), (None, "None", "x"), (None, None, "x"), (2, "u", "y" * 999), (2, "u", "y" * 999), (3, "u", "y" * 1000), (3, "u", "y" * 1000), (4, "v", "y" * 1000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = Counter((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.page_captures(spark, pages).collect())
+    assert got == Counter({
+        (1, len(big), "response", None): 2, (None, len(big), "revisit", 1): 1, (None, 1, "response", None): 2,
+        (2, 999, "response", None): 2, (3, 1000, "revisit", 4): 2, (4, 1000, "response", None): 1,
+    })
+
+
+def test_warc_of_others(spark):
+    def rec(kind, ident, others=(), block=b"", extra=()):
+        return warc.record(kind, [*([("WARC-Record-ID", ident)] if ident else []), *[("WARC-Concurrent-To", x) for x in others], *extra], block)
+
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    parts = [
+        rec("warcinfo", "w"), rec("response", "p1", (), http), rec("request", "q1", ("p1",)), rec("metadata", "m1", ("q1",)),  # metadata names the request
+        rec("request", "q2"), rec("response", "p2", ("q2", "m2"), b"no separator"), rec("metadata", "m2"),  # the response names the others, by a repeated header
+        rec("response", None, (), http), rec("response", None, (), http), rec("metadata", None, ("p1x",)),  # no identifiers
+        rec("request", "q3", ("m3",)), rec("metadata", "m3"),  # no response
+    ]
+    broken = rec("response", "p9", (), http).replace(b"Content-Length: 23", b"Content-Length: x")
+    folded = rec("response", "p10", (), http).replace(b"WARC-Record-ID: p10", b"WARC-Record-ID:\r\n p10")
+    content = b"".join(parts) + broken + folded + b"junk\r\n" + rec("response", "p11", (), http)[:-10]
+    files = spark.createDataFrame([("a", bytearray(content)), ("b", None), ("c", bytearray(b"\x1f\x8bxx")), ("d", bytearray())], "archive string, content binary")
+    recs = warc.records(files)
+    assert sorted(r.error for r in recs.where("error is not null").collect()) == sorted(["no length", "not a record", "breaks off", recs.where("archive = 'c'").first().error])
+    got = {r.capture_id: r for r in warc.transactions(recs).collect()}
+    name = lambda x: x and x.record_id
+    told = {(name(r.response), name(r.request), name(r.metadata)) for k, r in got.items() if "@" not in k}
+    assert told == {("p1", "q1", "m1"), ("p2", "q2", "m2"), (None, "q3", "m3"), ("p10", None, None)}
+    assert bytes(got["p2"].response.payload) == b"no separator" and bytes(got["p10"].response.payload) == b"body"
+    assert sum(r.response is not None for k, r in got.items() if "@" in k) == 2 and len(got) >= 6
 
 
 # ---- mixing --------------------------------------------------------------------------
@@ -345,12 +381,34 @@ def test_mixing(spark, seed):
     for (_, target), taken in by_source.items():
         assert abs(sum(taken) - target) <= 1
     assert sorted(map(tuple, mixing.mix(df.repartition(5)).collect()), key=repr) == sorted(map(tuple, got), key=repr)
-    made = mixing.materialise(df, mixing.mix(df)).where("doc_id <> 5").select("doc_id", "text").collect()
     words = Counter()
-    for r in made:
+    for r in mixing.materialise(df).collect():
         words[r.doc_id] += len(r.text.split())
-    assert words == Counter({r.doc_id: r.taken for r in got if r.doc_id not in (5, None) and r.taken})
-    assert mixing.mix(docs(spark, [])).count() == 0
+    taken = Counter()
+    for r in got:
+        taken[r.doc_id] += r.taken
+    assert words == +taken
+    assert mixing.mix(docs(spark, [])).count() == 0 and mixing.materialise(docs(spark, [])).count() == 0
+
+
+def test_mixing_of_repeated_and_missing_identifiers(spark):
+    """Decisions are by row: targets are met however rows share identifiers; columns keep their names."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, None, 1, 2, 1000 + i]), rng.choice(["", None, "same text here", " ".join("x" * rng.randint(1, 9)) + f" {rng.randint(0, 30)}"]), rng.choice("ab")) for i in range(400)]
+    ddl = "doc_id long, text string, source string, choice int, _id int, _key int, _text string, size int, part int"
+    df = spark.createDataFrame([(*r, 1, 2, 3, "t", 4, 5) for r in rows], ddl).repartition(5)
+    got, made = mixing.mix(df).collect(), mixing.materialise(df).collect()
+    assert len(got) == 400 and made[0].__fields__ == df.columns
+    sizes, words = Counter(), Counter()
+    for _, t, s in rows:
+        sizes[s] += len((t or "").split())
+    for r in made:
+        words[r.source] += len(r.text.split())
+    for s, target in slow_targets(dict(sizes)).items():
+        assert abs(words[s] - target) <= 1
+    assert all(0 <= r.taken <= 2 * r.size for r in got) and sum(r.taken for r in got) == sum(words.values())
+    assert sorted(map(tuple, mixing.mix(df.repartition(2)).collect()), key=repr) == sorted(map(tuple, got), key=repr)
+    assert not any(x in mixing.materialise(df)._jdf.queryExecution().executedPlan().toString() for x in ("Python", "Arrow", "Pandas"))
 
 
 def test_mixing_is_native(spark):
