@@ -62,6 +62,11 @@ def made(spark: SparkSession) -> int:
     return len(_made.get(spark.sparkContext.applicationId, []))
 
 
+def last_path(spark: SparkSession) -> str:
+    """The folder that this application made last."""
+    return [name for kind, name in _made[spark.sparkContext.applicationId] if kind == "path"][-1]
+
+
 def release(spark: SparkSession, *, since: int = 0, keep: Collection[str] = ()) -> int:
     """Delete what this application staged, once nothing reads it any more; the number of tables and folders.
 
