@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import made, new_path, new_table, release, shared_folder, stage
+from ..sources.staging import last_path, made, new_path, new_table, release, shared_folder, stage
 
-__all__ = ["WORD", "attach", "buckets", "join_hot", "made", "new_path", "new_table", "numbered", "release", "shared_folder", "spread", "table", "text_or_empty", "write_bucketed", "write_table"]
+__all__ = ["WORD", "attach", "buckets", "join_hot", "last_path", "made", "new_path", "new_table", "numbered", "release", "shared_folder", "spread", "table", "text_or_empty", "write_bucketed", "write_table"]
 
 #: One word of a text: a run of anything but space and the ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
