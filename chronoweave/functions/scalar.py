@@ -6,6 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,16 +42,13 @@ def subtitle_clock(ms: Column | str) -> Column:
     return F.concat(clock(m), F.lit(","), F.lpad((m % 1000).cast("string"), 3, "0"))
 
 
-@F.udf(T.StringType(), useArrow=False)
-def subtitle_clock_seconds(seconds: float | None) -> str | None:
-    """``HH:MM:SS,mmm`` of seconds in a double, for writers only.
+@F.pandas_udf(T.StringType())
+def subtitle_clock_seconds(seconds: pd.Series) -> pd.Series:
+    """``HH:MM:SS,mmm`` of seconds in a double, for writers only; in batches, as no built-in rounds alike.
 
-    Rounding is to even and does not carry into the minute: 59.9996 is ``00:00:60,000``.
+    Rounding is that of the exact binary value and does not carry into the minute: 59.9996 is ``00:00:60,000``.
     """
-    if seconds is None:
-        return None
-    hours, rest = divmod(seconds, 3600)
-    return f"{int(hours):02d}:{int(rest // 60):02d}:{seconds % 60:06.3f}".replace(".", ",")
+    return seconds.map(lambda s: f"{int(s // 3600):02d}:{int(s % 3600 // 60):02d}:{s % 60:06.3f}".replace(".", ","), na_action="ignore")
 
 
 def letters_and_digits(text: Column | str) -> Column:
@@ -91,7 +89,11 @@ def correct(text: Column | str, corrections: Mapping[str, str]) -> Column:
         literal = "".join("\\" + x if not x.isalnum() and x not in "_ " else x for x in heard)
         return F.regexp_replace(c, rf"(?iu)\b{literal}\b", re.sub(r"([\\$])", r"\\\1", meant))
 
-    return reduce(one, corrections.items(), _col(text))
+    if not corrections:
+        return _col(text)
+    # Texts that no rule finds as they are stay: one search for all of them.
+    any_of = "|".join("".join("\\" + x if not x.isalnum() and x not in "_ " else x for x in heard) for heard in corrections)
+    return F.when(_col(text).rlike(rf"(?iu)\b(?:{any_of})\b"), reduce(one, corrections.items(), _col(text))).otherwise(_col(text))
 
 
 def first_match(text: Column | str, patterns: Sequence[str]) -> Column:

@@ -16,13 +16,14 @@ def pick_offers(offers: DataFrame, keys: Sequence[str] = (), *, least_reliabilit
     """The best offer of each key, or of all.
 
     Data centres come first where there are any, then those above the quality floor where
-    there are any, then the cheapest; a missing price counts as 999, ties keep their order.
+    there are any, then the cheapest; a missing price counts as 999, ties keep their order. No
+    offers at all is an error where the row is asked for; a key without any has no row.
     """
     passes = (F.coalesce("reliability2", F.lit(0.0)) >= least_reliability) & (F.coalesce("inet_down", F.lit(0.0)) >= least_down)
-    order = [F.col("is_dc").desc(), passes.desc(), F.coalesce("dph_total", F.lit(999.0)), F.col("seq")]
-    if not keys:
-        return offers.orderBy(*order).limit(1)
     best = F.struct(*[(-c if i else c).alias(f"o{i}") for i, c in enumerate([F.col("is_dc").cast("int") * 2 + passes.cast("int"), F.coalesce("dph_total", F.lit(999.0)), F.col("seq")])])
+    if not keys:
+        one = offers.agg(F.max_by(F.struct(*offers.columns), best).alias("__o"))
+        return one.select(F.when(F.col("__o").isNull(), F.raise_error(F.lit("no offers"))).otherwise(F.col("__o")).alias("__o")).select("__o.*")
     picked = offers.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in offers.columns if c not in keys]), best).alias("__o"))
     return picked.select(*keys, "__o.*")
 
@@ -33,13 +34,37 @@ def runs_of(polls: DataFrame, value: str, *, keys: Sequence[str] = ("instance_id
     return marked.groupBy(*keys, F.col("run").cast("long").alias("run")).agg(F.first(value).alias(value), F.min(order[0]).alias("first_seq"), F.count("*").alias("polls"))
 
 
-def stuck(polls: DataFrame, *, repeats: int = 4) -> DataFrame:
-    """First poll of each instance at which it is stuck: the same retry message ``repeats`` times more."""
-    said = polls.withColumn("msg", scalar.last_line("status_msg"))
+def verdicts(polls: DataFrame, *, repeats: int = 4, deadline_ms: int | None = None, at: str = "at_ms") -> DataFrame:
+    """The first verdict on each instance, ``instance_id, seq, verdict, msg``, as the watch of a stream gives it.
+
+    ``offline`` at once; ``ready`` where it runs with an address; ``stuck`` where the same retry message
+    comes ``repeats`` times more. Polls with an ``error`` are passed over. With ``deadline_ms`` an
+    instance that is polled so long after its first poll (by ``at``) without a verdict is ``late``.
+    """
+    there = polls.where("error is null") if "error" in polls.columns else polls
+    said = there.withColumn("msg", scalar.last_line("status_msg"))
     retry = F.lower("msg").contains("retrying") & (F.col("msg") != "")
     runs = change_islands(said, ["instance_id"], ["seq"], F.col("msg"), "run").withColumn("retry", retry)
     nth = runs.withColumn("nth", F.row_number().over(Window.partitionBy("instance_id", "run").orderBy("seq")))
-    return nth.where(F.col("retry") & (F.col("nth") == repeats + 1)).groupBy("instance_id").agg(F.min("seq").alias("seq"), F.min_by("msg", "seq").alias("msg"))
+    address = [F.col(c).isNotNull() & ~F.col(c).cast("string").isin("", "0") if c in polls.columns else F.lit(False) for c in ("ssh_host", "ssh_port")]
+    verdict = (
+        F.when(F.col("actual_status") == "offline", "offline")
+        .when((F.col("actual_status") == "running") & address[0] & address[1], "ready")
+        .when(F.col("retry") & (F.col("nth") == repeats + 1), "stuck")
+    )
+    found = nth.withColumn("verdict", verdict)
+    if deadline_ms is not None:
+        found = found.withColumn("__late", F.col(at) - F.min(at).over(Window.partitionBy("instance_id")) >= deadline_ms)
+        found = found.withColumn("verdict", F.when(F.col("__late"), "late").otherwise(F.col("verdict"))).withColumn("__seq", F.when(F.col("__late"), -1).otherwise(F.col("seq")))
+    else:
+        found = found.withColumn("__seq", F.col("seq"))
+    best = found.where("verdict is not null").groupBy("instance_id").agg(F.min_by(F.struct(F.col("__seq").alias("seq"), "verdict", "msg"), "seq").alias("v"))
+    return best.select("instance_id", "v.seq", "v.verdict", "v.msg")
+
+
+def stuck(polls: DataFrame, *, repeats: int = 4) -> DataFrame:
+    """First poll of each instance at which it is stuck: the same retry message ``repeats`` times more."""
+    return verdicts(polls, repeats=repeats).where("verdict = 'stuck'").select("instance_id", "seq", "msg")
 
 
 def changes(df: DataFrame, value: str, *, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

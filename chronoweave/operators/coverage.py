@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar
+from ..sources.staging import stage
 from .islands import change_islands, interval_gaps, interval_union
 from .rangejoin import clip_join
 
@@ -30,7 +31,7 @@ def audit(turns: DataFrame, segments: DataFrame, recordings: DataFrame, *, grace
     """
     each = recordings.select(*keys).join(turns, "recording_id")
     inner = [*keys, "turn_seq"]
-    runs = interval_union(turn_clips(turns, segments, keys), inner)
+    runs = stage(interval_union(turn_clips(turns, segments, keys), inner), "runs")  # for the summary, the gaps and what warns of them
     covered = runs.groupBy(*keys).agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("covered_ms"))
     speech = each.groupBy(*keys).agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("speech_ms"))
     summary = recordings.select(*keys).join(speech, list(keys), "left").join(covered, list(keys), "left")

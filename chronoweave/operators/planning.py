@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,20 +66,33 @@ def window_plan(recordings: DataFrame, silent: DataFrame, *, window: int, overla
     """Windows whose edges snap to silences: ``recording_id, window_idx, start_ms, end_ms``.
 
     Where a window starts depends on where the last one ended, so a recording is planned in one
-    pass; recordings are planned side by side. A group is one recording's silences.
+    pass; recordings are planned side by side, many in a batch. At most ``most`` windows are
+    planned; :func:`unplanned` tells the recordings that have more.
     """
-    mids = silent.select("recording_id", F.floor((F.col("start_ms") + F.col("end_ms")) / 2).cast("long").alias("mid"))
-    both = recordings.select("recording_id", "duration_ms", F.lit(None).cast("long").alias("mid")).unionByName(mids.withColumn("duration_ms", F.lit(None).cast("long")))
-
-    def plan(rows: pd.DataFrame) -> pd.DataFrame:
-        lengths = rows["duration_ms"].dropna()
-        if lengths.empty:
-            return pd.DataFrame({"recording_id": [], "window_idx": [], "start_ms": [], "end_ms": []}).astype("int64")
-        mids = sorted(int(m) for m in rows["mid"].dropna())
-        found = plan_one(int(lengths.max()), mids, window=window, overlap=overlap, least_overlap=least_overlap, tolerance=tolerance, most=most, least_tail=least_tail)
-        return pd.DataFrame({"recording_id": rows["recording_id"].iloc[0], "window_idx": range(len(found)), "start_ms": [a for a, _ in found], "end_ms": [b for _, b in found]})
-
-    return both.groupBy("recording_id").applyInPandas(plan, "recording_id long, window_idx int, start_ms long, end_ms long")
+    mid = F.floor((F.col("start_ms") + F.col("end_ms")) / 2).cast("long")
+    mids = silent.groupBy("recording_id").agg(F.array_sort(F.collect_list(mid)).alias("mids"))
+    both = recordings.groupBy("recording_id").agg(F.max("duration_ms").alias("duration_ms")).join(mids, "recording_id", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rec, length, near in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if length is None:
+                    continue
+                found = plan_one(length, near or [], window=window, overlap=overlap, least_overlap=least_overlap, tolerance=tolerance, most=most, least_tail=least_tail)
+                starts, ends = zip(*found, strict=True) if found else ((), ())
+                yield pa.RecordBatch.from_pydict({"recording_id": pa.array([rec] * len(found), pa.int64()), "window_idx": pa.array(range(len(found)), pa.int32()), "start_ms": pa.array(starts, pa.int64()), "end_ms": pa.array(ends, pa.int64())})
+
+    return both.select(F.col("recording_id").cast("long"), F.col("duration_ms").cast("long"), "mids").mapInArrow(run, "recording_id long, window_idx int, start_ms long, end_ms long")
+
+
+def unplanned(recordings: DataFrame, windows: DataFrame, *, least_tail: int = 300) -> DataFrame:
+    """``recording_id, duration_ms, planned_ms`` of recordings whose windows end before them.
+
+    More than a tail is left where a plan reached its number of windows.
+    """
+    ends = windows.groupBy("recording_id").agg(F.max("end_ms").alias("planned_ms"))
+    both = recordings.select("recording_id", "duration_ms").join(ends, "recording_id", "left").withColumn("planned_ms", F.coalesce("planned_ms", F.lit(0)).cast("long"))
+    return both.where(F.col("duration_ms") - F.col("planned_ms") >= least_tail)
 
 
 def in_batches(windows: DataFrame, size: int) -> DataFrame:

@@ -110,8 +110,11 @@ def overlap_drop_counts(spark, d):
 
 
 def merge_with_failed_window(spark, d):
-    left = _Inputs(spark, d).emitted.where("model = 'canary' and window_idx % 4 <> 2")
-    return merging.merge_overlaps(left, keys=KEYS).select(*KEYS, "seq", "window_idx")
+    """Every word is there; those of windows that failed come as one empty hypothesis each, which gives no word."""
+    emitted = _Inputs(spark, d).emitted
+    failed = (F.col("window_idx") % 4 == 2) & (F.col("model") == "canary")
+    heard = emitted.withColumn("text", F.when(failed, "").otherwise(F.col("text"))).where("text <> ''")
+    return merging.merge_overlaps(heard, keys=KEYS).select(*KEYS, "seq", "window_idx")
 
 
 def speaker_assign(spark, d):
@@ -120,16 +123,19 @@ def speaker_assign(spark, d):
 
 def speaker_assign_ties(spark, d):
     """Words between two equally long, equally near turns: the earlier turn's speaker has them."""
-    words = _Inputs(spark, d).words.where("seq % 5 = 0").select("recording_id", F.lit("m").alias("model"), "seq", "text", "start_ms", "end_ms")
+    words = _Inputs(spark, d).words.select("recording_id", F.lit("m").alias("model"), "seq", "text", (5 * F.col("start_ms")).alias("start_ms"), (5 * F.col("end_ms")).alias("end_ms"))
     mid = F.floor((F.col("start_ms") + F.col("end_ms")) / 2).cast("long")
-    both = F.explode(F.array(F.struct((mid - 300).alias("a"), mid.alias("b"), F.lit("Z").alias("s"), (F.col("seq") * 2).alias("t")), F.struct(mid.alias("a"), (mid + 300).alias("b"), F.lit("A").alias("s"), (F.col("seq") * 2 + 1).alias("t"))))
+    name = F.when(F.col("seq") % 2 == 0, "Z").otherwise("Y")
+    both = F.explode(F.array(F.struct((mid - 300).alias("a"), mid.alias("b"), name.alias("s"), (F.col("seq") * 2).alias("t")), F.struct(mid.alias("a"), (mid + 300).alias("b"), F.lit("A").alias("s"), (F.col("seq") * 2 + 1).alias("t"))))
     near = words.select("recording_id", both.alias("x")).select("recording_id", F.col("x.t").alias("turn_seq"), F.col("x.a").alias("start_ms"), F.col("x.b").alias("end_ms"), F.col("x.s").alias("speaker"))
     return speakers.assign_speakers(words, near, keys=KEYS).select("recording_id", "seq", "speaker")
 
 
 def speaker_unknown(spark, d):
+    """Turns are there in their first two seconds only, so words after that have no speaker."""
     inputs = _Inputs(spark, d)
-    named = speakers.assign_speakers(inputs.merged(), inputs.turns.where("turn_seq % 3 = 0"), keys=KEYS)
+    short = inputs.turns.withColumn("end_ms", F.least("end_ms", F.col("start_ms") + 2000))
+    named = speakers.assign_speakers(inputs.merged(), short, keys=KEYS)
     return named.groupBy(*KEYS).agg(F.count("*").alias("words"), F.count_if(F.col("speaker") == fixed.UNKNOWN_SPEAKER).alias("unknown"))
 
 
@@ -301,20 +307,20 @@ SQL: dict[str, str] = {
         JOIN (SELECT recording_id, model, count(*) AS kept FROM merged GROUP BY ALL) m USING (recording_id, model)""", "emitted", "merged"),
     "merge_with_failed_window": ad.sql("""SELECT recording_id, model, seq, window_idx FROM (
         SELECT e.*, low4, high4 FROM emitted e JOIN (SELECT *, lag(c2) OVER o + c2 AS low4, c2 + lead(c2) OVER o AS high4 FROM centres
-        WHERE model = 'canary' AND window_idx % 4 <> 2 WINDOW o AS (PARTITION BY model, recording_id ORDER BY c2, first_seq)) USING (model, recording_id, window_idx))
+        WHERE NOT (model = 'canary' AND window_idx % 4 = 2) WINDOW o AS (PARTITION BY model, recording_id ORDER BY c2, first_seq)) USING (model, recording_id, window_idx))
         WHERE (low4 IS NULL OR low4 <= 4 * start_ms) AND (high4 IS NULL OR 4 * start_ms < high4)""", "emitted", "centres"),
     "speaker_assign": ad.sql("SELECT recording_id, model, seq, speaker FROM labelled", "labelled"),
     "speaker_assign_ties": ad.sql("""SELECT recording_id, seq, speaker FROM (
         SELECT *, row_number() OVER (PARTITION BY recording_id, seq ORDER BY held DESC, rank) AS place FROM (
         SELECT w.recording_id, w.seq, t.speaker, min(t.rank) AS rank, sum(least(w.start_ms + w.end_ms + 2000, 2 * t.b) - greatest(w.start_ms + w.end_ms - 2000, 2 * t.a)) AS held
-        FROM words w JOIN (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY a, t) AS rank FROM (
-            SELECT recording_id, (start_ms + end_ms) // 2 - 300 AS a, (start_ms + end_ms) // 2 AS b, 'Z' AS speaker, seq * 2 AS t FROM words WHERE seq % 5 = 0
-            UNION ALL SELECT recording_id, (start_ms + end_ms) // 2, (start_ms + end_ms) // 2 + 300, 'A', seq * 2 + 1 FROM words WHERE seq % 5 = 0)) t
+        FROM slow w JOIN (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY a, t) AS rank FROM (
+            SELECT recording_id, (start_ms + end_ms) // 2 - 300 AS a, (start_ms + end_ms) // 2 AS b, CASE seq % 2 WHEN 0 THEN 'Z' ELSE 'Y' END AS speaker, seq * 2 AS t FROM slow
+            UNION ALL SELECT recording_id, (start_ms + end_ms) // 2, (start_ms + end_ms) // 2 + 300, 'A', seq * 2 + 1 FROM slow)) t
         ON w.recording_id = t.recording_id AND 2 * t.a < w.start_ms + w.end_ms + 2000 AND 2 * t.b > w.start_ms + w.end_ms - 2000
-        WHERE w.seq % 5 = 0 GROUP BY w.recording_id, w.seq, t.speaker)) WHERE place = 1""", "words"),
+        GROUP BY w.recording_id, w.seq, t.speaker)) WHERE place = 1""", "words").replace("\nSELECT recording_id, seq, speaker FROM", ",\nslow AS (SELECT recording_id, seq, 5 * start_ms AS start_ms, 5 * end_ms AS end_ms FROM words)\nSELECT recording_id, seq, speaker FROM", 1),
     "speaker_unknown": ad.sql("""SELECT recording_id, model, count(*) AS words, count(*) FILTER (WHERE NOT known) AS unknown FROM (
-        SELECT m.*, EXISTS (SELECT 1 FROM turns t WHERE t.turn_seq % 3 = 0 AND t.recording_id = m.recording_id
-        AND 2 * t.start_ms < m.start_ms + m.end_ms + 2000 AND 2 * t.end_ms > m.start_ms + m.end_ms - 2000) AS known FROM merged m) GROUP BY ALL""", "merged", "turns"),
+        SELECT m.*, EXISTS (SELECT 1 FROM turns t WHERE t.recording_id = m.recording_id
+        AND 2 * t.start_ms < m.start_ms + m.end_ms + 2000 AND 2 * least(t.end_ms, t.start_ms + 2000) > m.start_ms + m.end_ms - 2000) AS known FROM merged m) GROUP BY ALL""", "merged", "turns"),
     "build_segments": ad.sql("SELECT * FROM segments", "segments"),
     "segment_sort": ad.sql(f"SELECT recording_id, model, row_number() OVER (PARTITION BY recording_id, model ORDER BY start_ms, end_ms, seg_seq) AS place, {_CLOCK.format('start_ms')} AS clock, speaker, length(text) AS chars FROM segments", "segments"),
     "srt_cues": ad.sql(f"""SELECT recording_id, model, row_number() OVER (PARTITION BY recording_id, model ORDER BY start_ms, end_ms, seg_seq) AS cue,

@@ -10,7 +10,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,29 +68,53 @@ def frames(audio: DataFrame, *, frame_ms: int = 50, expected_rate: int | None =
     return audio.select("recording", "content").mapInArrow(run, "recording string, frame_idx long, rms double")
 
 
-def durations(audio: DataFrame) -> DataFrame:
-    """``recording, duration_ms, rate, channels, bits`` from the headers alone."""
-
-    @F.pandas_udf("duration_ms long, rate int, channels int, bits int")
-    def header(heads: pd.Series, sizes: pd.Series) -> pd.DataFrame:
-        rows = []
-        for head, size in zip(heads, sizes, strict=True):
-            rate = channels = bits = held = 0
-            at = 12
-            while at + 8 <= len(head):
-                name, n = struct.unpack_from("<4sI", head, at)
-                if name == b"fmt " and at + 24 <= len(head):
-                    _, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", head, at + 8)
-                if name == b"data":
-                    held = min(n, size - at - 8)
-                    break
-                at += 8 + n + n % 2
+def _header(content: bytes) -> tuple[int, int, int, int]:
+    """``duration_ms, rate, channels, bits`` by walking the chunks, wherever they lie; no data chunk is an error."""
+    view, at = memoryview(content), 12
+    rate = channels = bits = 0
+    while at + 8 <= len(view):
+        name, n = struct.unpack_from("<4sI", view, at)
+        if name == b"fmt " and at + 24 <= len(view):
+            _, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", view, at + 8)
+        if name == b"data":
             width = channels * bits // 8
-            rows.append((held // width * 1000 // rate if width and rate else 0, rate, channels, bits))
-        return pd.DataFrame(rows, columns=["duration_ms", "rate", "channels", "bits"])
+            if not width or not rate:
+                raise ValueError("a data chunk before the format of its samples")
+            return min(n, len(view) - at - 8) // width * 1000 // rate, rate, channels, bits
+        at += 8 + n + n % 2
+    raise ValueError("no data chunk")
+
+
+def durations(audio: DataFrame) -> DataFrame:
+    """``recording, duration_ms, rate, channels, bits`` from the headers alone; no sample is decoded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [_header(c.as_buffer()) for c in batch.column(1)]
+            cols = list(zip(*heads, strict=True)) if heads else [()] * 4
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=["recording", "duration_ms", "rate", "channels", "bits"])
+
+    return audio.select(F.col("recording").cast("string"), "content").mapInArrow(run, "recording string, duration_ms long, rate int, channels int, bits int")
+
+
+def slices(audio: DataFrame, windows: DataFrame, *, expected_rate: int | None = 16000) -> DataFrame:
+    """``windows (recording, window_idx, start_ms, end_ms)`` with ``samples``, 32-bit floats of their stretch.
+
+    A file meets the windows of its recording once, gathered in an array, and is decoded once.
+    """
+    own = windows.groupBy("recording").agg(F.array_sort(F.collect_list(F.struct("window_idx", "start_ms", "end_ms"))).alias("w"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                data, rate = samples(content.as_py(), expected_rate)
+                for w in own:
+                    part = data[w["start_ms"] * rate // 1000 : w["end_ms"] * rate // 1000].astype("<f4").tobytes()
+                    yield pa.RecordBatch.from_pydict({"recording": [name], "window_idx": pa.array([w["window_idx"]], pa.int32()), "start_ms": [w["start_ms"]], "end_ms": [w["end_ms"]], "samples": pa.array([part], pa.binary())})
 
-    head = F.substring("content", 1, 4096)
-    return audio.select("recording", header(head, F.octet_length("content")).alias("h")).select("recording", "h.*")
+    met = audio.select("recording", "content").join(own, "recording")
+    return met.mapInArrow(run, "recording string, window_idx int, start_ms long, end_ms long, samples binary")
 
 
 def checked_speech_audio(audio: DataFrame) -> DataFrame:
@@ -133,7 +156,9 @@ def progress_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def offers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("id long, gpu_name string, num_gpus int, disk_space double, reliability2 double, inet_down double, dph_total double, hosting_type int").json(path)
+    """Offers of a snapshot as :func:`control.pick_offers` takes them: ``seq`` is their order, ``is_dc`` that a data centre makes them."""
+    read = spark.read.schema("id long, gpu_name string, num_gpus int, disk_space double, reliability2 double, inet_down double, dph_total double, hosting_type int").json(path)
+    return read.withColumn("seq", F.monotonically_increasing_id()).withColumn("is_dc", F.coalesce(F.col("hosting_type") == 1, F.lit(False)))
 
 
 def polls(spark: SparkSession, path: str, *, stream: bool = False) -> DataFrame:
@@ -207,8 +232,8 @@ _diarisers: dict[str, Callable] = {}
 def register_recogniser(name: str, load: Callable[[], Callable[[list], list]]) -> None:
     """``load()`` runs once a task and gives ``batch of windows -> list of words or None`` each.
 
-    A window is ``(recording, window_idx, start_ms, end_ms)``; a word ``(text, start, end)`` in
-    seconds from the window's start.
+    A window is ``(recording, window_idx, start_ms, end_ms)``, and its ``samples`` where the windows
+    have them (:func:`slices`); a word ``(text, start, end)`` in seconds from the window's start.
     """
     _recognisers[name] = load
 
@@ -245,7 +270,7 @@ def recognise(windows: DataFrame, model: str, *, batch_size: int = 16) -> DataFr
                 })
 
     out = f"recording_id long, model string, window_idx int, start double, end double, hypothesis struct<{schema.HYPOTHESIS.replace(' struct', ': struct', 1)}>, error string"
-    return windows.select("recording_id", "window_idx", "start_ms", "end_ms").mapInArrow(run, out)
+    return windows.select("recording_id", "window_idx", "start_ms", "end_ms", *[c for c in ("samples",) if c in windows.columns]).mapInArrow(run, out)
 
 
 def diarise(recordings: DataFrame, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "instance_id long, seq long, verdict string, msg string"
-STATE = "msg string, repeats int, done boolean"
+STATE = "msg string, repeats int, done boolean, since long"
 
 
 def step(state: tuple[str, int, bool], row: dict, repeats: int) -> tuple[tuple[str, int, bool], str | None]:
@@ -18,16 +18,16 @@ def step(state: tuple[str, int, bool], row: dict, repeats: int) -> tuple[tuple[s
 
     Offline is final at once, running with an address too. The same last line that speaks of
     retrying, ``repeats`` polls in a row after the first, is stuck; any other poll starts
-    the count again. A failed poll (no status at all) changes nothing.
+    the count again, one without a status as well. A poll that failed (``error``) changes nothing.
     """
     msg, n, done = state
-    if done or row["actual_status"] is None:
+    if done or row.get("error") is not None:
         return state, None
+    said = (row["status_msg"] or "").strip().split("\n")[-1]
     if row["actual_status"] == "offline":
-        return (msg, n, True), "offline"
+        return (said, n, True), "offline"
     if row["actual_status"] == "running" and row["ssh_host"] and row["ssh_port"]:
-        return (msg, n, True), "ready"
-    said = (row["status_msg"] or "").strip().split("\n")[-1]
+        return (said, n, True), "ready"
     n = n + 1 if said and said == msg and "retrying" in said.lower() else 0
     return (said, n, n >= repeats), "stuck" if n >= repeats else None
 
@@ -35,26 +35,30 @@ def step(state: tuple[str, int, bool], row: dict, repeats: int) -> tuple[tuple[s
 def watch(polls: DataFrame, *, repeats: int = 4, deadline_ms: int | None = None) -> DataFrame:
     """Verdicts on a stream of polls, one an instance at most; state is one small row each.
 
-    With ``deadline_ms`` an instance without a verdict for so long is ``late``.
+    With ``deadline_ms`` an instance without a verdict for so long after its first poll is ``late``,
+    however often it answers. :func:`control.verdicts` says the same of a table of polls.
     """
     timeout = GroupStateTimeout.ProcessingTimeTimeout if deadline_ms else GroupStateTimeout.NoTimeout
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else ("", 0, False)
-        if state.hasTimedOut:
-            state.remove()
-            if not held[2]:
-                yield pd.DataFrame({"instance_id": [key[0]], "seq": [-1], "verdict": ["late"], "msg": [held[0]]})
+        now = state.getCurrentProcessingTimeMs() if deadline_ms else 0
+        msg, n, done, since = state.get if state.exists else ("", 0, False, now)
+        held = (msg, n, done)
+        late = deadline_ms is not None and now - since >= deadline_ms
+        if late or state.hasTimedOut:
+            if not done:
+                yield pd.DataFrame({"instance_id": [key[0]], "seq": [-1], "verdict": ["late"], "msg": [msg]})
+            state.update((msg, n, True, since))
             return
         rows = pd.concat(list(batches)).sort_values("seq").astype(object)
         rows = rows.where(rows.notna(), None)
         for row in rows.to_dict("records"):
-            held, verdict = step(tuple(held), row, repeats)
+            held, verdict = step(held, row, repeats)
             if verdict:
                 yield pd.DataFrame({"instance_id": [key[0]], "seq": [row["seq"]], "verdict": [verdict], "msg": [held[0]]})
-        state.update(tuple(held))
+        state.update((*held, since))
         if deadline_ms and not held[2]:
-            state.setTimeoutDuration(deadline_ms)
+            state.setTimeoutDuration(max(1, deadline_ms - (now - since)))
 
     return polls.groupBy("instance_id").applyInPandasWithState(run, OUTPUT, STATE, "append", timeout)
 

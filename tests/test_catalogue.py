@@ -35,9 +35,9 @@ def same(spark, con, name):
 
 
 def _timeline():
-    from chronoweave.plans import catalogue
+    from chronoweave.plans import catalogue, catalogue_io
 
-    return sorted(catalogue.QUERIES)
+    return sorted(catalogue.QUERIES | catalogue_io.QUERIES)
 
 
 @pytest.mark.parametrize("name", _timeline())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chronoweave.functions import schema
 from chronoweave.functions.fixed import Settings
-from chronoweave.operators import coverage, merging, planning, speakers
+from chronoweave.operators import control, coverage, merging, planning, speakers
 from chronoweave.sources import readers, sinks
 from chronoweave.streaming import watch
 
@@ -172,7 +172,9 @@ RETRY = "pulling\nRetrying in 1 second"
     [
         ([("loading", RETRY)] * 5, [(4, "stuck")]),
         ([("loading", RETRY)] * 4 + [("loading", "step")] + [("loading", RETRY)] * 4, []),
-        ([("loading", RETRY)] * 3 + [(None, None)] + [("loading", RETRY)] * 2, [(5, "stuck")]),
+        ([("loading", RETRY)] * 3 + ["failed"] + [("loading", RETRY)] * 2, [(5, "stuck")]),
+        ([("loading", RETRY)] * 3 + [(None, None)] + [("loading", RETRY)] * 2, []),
+        ([(None, RETRY)] * 5, [(4, "stuck")]),
         ([("loading", "same")] * 9, []),
         ([("loading", "x"), ("offline", "x"), ("offline", "x")], [(1, "offline")]),
         ([("loading", f"retrying {i}") for i in range(9)], []),
@@ -180,15 +182,16 @@ RETRY = "pulling\nRetrying in 1 second"
 )
 def test_watch_rule(rows, want):
     state, got = ("", 0, False), []
-    for i, (status, msg) in enumerate(rows):
-        state, verdict = watch.step(state, {"actual_status": status, "status_msg": msg, "ssh_host": None, "ssh_port": None}, 4)
+    for i, row in enumerate(rows):
+        status, msg = (None, None) if row == "failed" else row
+        state, verdict = watch.step(state, {"actual_status": status, "status_msg": msg, "ssh_host": None, "ssh_port": None, "error": row if row == "failed" else None}, 4)
         if verdict:
             got.append((i, verdict))
     assert got == want
 
 
 def test_watch_stream(spark, tmp_path):
-    polls = [(1, i, "loading", RETRY, None, None) for i in range(5)] + [(2, 0, "running", None, "h", 22), (3, 0, "offline", None, None, None), (4, 0, "loading", "x", None, None)]
+    polls = [(1, i, "loading", RETRY, None, None, None) for i in range(5)] + [(2, 0, "running", None, "h", 22, None), (3, 0, "offline", None, None, None, None), (4, 0, "loading", "x", None, None, None)]
     src = str(tmp_path / "in")
     for half in (polls[:3], polls[3:]):
         spark.createDataFrame(half, schema.POLLS).coalesce(1).write.mode("append").json(src)
@@ -201,6 +204,63 @@ def test_watch_stream(spark, tmp_path):
     assert sorted((r.instance_id, r.verdict) for r in spark.sql("select * from verdicts").collect()) == [(1, "stuck"), (2, "ready"), (3, "offline")]
 
 
+def test_watch_of_a_table_and_of_a_stream_agree(spark):
+    """The table's verdicts against the stream's rule, poll by poll, on random polls."""
+    import random
+
+    rng = random.Random(6)
+    polls = [
+        (i, n, rng.choice([None, "loading", "loading", "loading", "running", "offline"][: rng.choice([4, 6])]), rng.choice([None, "", RETRY, RETRY, RETRY, "x"]), rng.choice([None, "", "h"]), rng.choice([None, 22]), rng.choice([None] * 5 + ["failed"]))
+        for i in range(300) for n in range(rng.randint(1, 14))
+    ]
+    want = {}
+    for i in range(300):
+        state = ("", 0, False)
+        for row in (p for p in polls if p[0] == i):
+            state, verdict = watch.step(state, dict(zip(("i", "seq", "actual_status", "status_msg", "ssh_host", "ssh_port", "error"), row, strict=True)), 2)
+            if verdict:
+                want[i] = (row[1], verdict)
+    got = control.verdicts(spark.createDataFrame(polls, schema.POLLS).repartition(4), repeats=2).collect()
+    assert {r.instance_id: (r.seq, r.verdict) for r in got} == want
+    assert set(v for _, v in want.values()) == {"offline", "ready", "stuck"}
+
+
+def test_an_instance_that_keeps_answering_is_late(spark, tmp_path):
+    import time
+
+    src, end = str(tmp_path / "in"), time.time() + 60
+    spark.createDataFrame([(1, 0, "loading", "step 0", None, None, None)], schema.POLLS).coalesce(1).write.mode("append").json(src)
+    query = (
+        watch.watch(readers.polls(spark, src, stream=True), deadline_ms=4000).writeStream.format("memory").queryName("late").outputMode("append")
+        .option("checkpointLocation", str(tmp_path / "cp"))
+    )
+    query, n = query.start(), 1
+    try:
+        while time.time() < end and not spark.sql("select * from late").count():
+            spark.createDataFrame([(1, n, "loading", f"step {n}", None, None, None)], schema.POLLS).coalesce(1).write.mode("append").json(src)
+            n += 1
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert [(r.instance_id, r.verdict) for r in spark.sql("select * from late").collect()] == [(1, "late")] and n > 2
+
+
+def test_headers_wherever_they_lie(spark):
+    plain = wav([(1, 0.5)])
+    late = plain[:12] + b"LIST" + (100_000).to_bytes(4, "little") + bytes(100_000) + plain[12:]
+    assert [r.duration_ms for r in readers.durations(audio(spark, late=late)).collect()] == [1000]
+    with pytest.raises(PySparkException, match="no data chunk"):
+        readers.durations(audio(spark, none=plain[:30])).collect()
+
+
+def test_plans_that_reach_their_number_of_windows_are_told(spark):
+    recs = spark.createDataFrame([(1, 100_000), (2, 5_000), (3, 0)], "recording_id long, duration_ms long")
+    silent = spark.createDataFrame([], "recording_id long, start_ms long, end_ms long")
+    plan = planning.window_plan(recs, silent, window=3000, overlap=2000, least_overlap=500, tolerance=300, most=10)
+    assert plan.where("recording_id = 1").count() == 10
+    assert [(r.recording_id, r.planned_ms) for r in planning.unplanned(recs, plan).collect()] == [(1, 12_000)]
+
+
 def test_attempts(spark):
     df = spark.createDataFrame([("a", 1, False), ("a", 2, True), ("b", 4, True)], "job string, attempt int, ok boolean")
     assert [tuple(r) for r in watch.first_good_attempt(df, retries=2).collect()] == [("a", 2)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from chronoweave.functions import fixed, schema
@@ -331,7 +332,8 @@ def test_offers(spark, rows, best):
     df = spark.createDataFrame([(i, n, dc, r, d, p) for n, (i, dc, r, d, p) in enumerate(rows)], schema.OFFERS)
     assert control.pick_offers(df).first().id == best
     assert control.pick_offers(df.withColumn("g", F.lit(1)), ["g"]).first().id == best
-    assert control.pick_offers(df.limit(0)).count() == 0
+    with pytest.raises(PySparkException, match="no offers"):
+        control.pick_offers(df.limit(0)).collect()
 
 
 def test_missing_outputs(spark):
