@@ -9,12 +9,13 @@ mostly share one. The work then goes:
 2. Each block sends its different anchors, dealt by hash; an anchor that is alone in the
    corpus is dropped, the others go back to their blocks.
 3. Each block sends the stretches under repeated anchors, dealt by anchor. A shard indexes
-   its different stretches and tells which windows are equal (a suffix array or an FM-index
-   does this); each window that starts earlier elsewhere goes back to its block.
+   each different stretch once, at its first place, and the index (a suffix array or an FM-index)
+   gives for every window the interval of its occurrences, whose first place decides for all
+   runs of the stretch; each window that starts earlier elsewhere goes back to its block.
 4. Each block removes the units that such windows cover.
 
-Copies are folded before anything is indexed, and an anchor is sent once a block, so a
-passage that very many documents hold costs one entry a block. A task gathers what several
+An anchor is sent once a block, and a stretch's text once a parcel, so a passage that very
+many documents hold costs one short entry an occurrence and one text a parcel. A task gathers what several
 blocks send to one place into one row. An anchor in more than
 ``hot_blocks`` blocks would gather many different stretches in one shard: its windows are dealt
 one by one, by a hash of the whole window.
@@ -402,65 +403,70 @@ def shard_windows(parcels: list, task: Task) -> tuple[list[int], list[np.ndarray
     for own, s in subs:
         sub[own] = s
     windows = np.array([_windows(x, task) for x in stretches], np.int64)
-    # The first run of each stretch; the others are copies as a whole.
+    # The first run of each stretch: its place in the index.
     order = np.lexsort((start, doc, which))
     lead = order[np.append(True, which[order][1:] != which[order][:-1])]
-    # The stretches by chunks of whole anchors; of each, the stretches of windows that are not first.
+    # The stretches by chunks of whole anchors, one index each.
     by_sub = np.argsort(sub, kind="stable")
     size = np.cumsum([len(stretches[i]) for i in by_sub])
     group_end = np.flatnonzero(np.append(sub[by_sub][1:] != sub[by_sub][:-1], True)) + 1
-    low, spent, later = 0, 0, []
+    low, spent, parts = 0, 0, []
     for end in group_end.tolist():
         if size[end - 1] - spent >= task.chunk_bytes or end == len(by_sub):
             ids, low, spent = by_sub[low:end], end, int(size[end - 1])
-            later.append(_later([stretches[i] for i in ids], windows[ids], ids, doc[lead[ids]], start[lead[ids]], task))
-    ids, off, num = (np.concatenate(x) for x in zip(*later, strict=True))
+            parts.append(_least_places([stretches[i] for i in ids], windows[ids], ids, doc[lead[ids]], start[lead[ids]], task))
+    ids, off, num, first_doc, first_start = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(ids, kind="stable")
-    ids, off, num = ids[order], off[order], num[order]
-    # A copy goes as a whole if its document is later (or its start, within one); else it goes as its first run does.
-    behind = doc > doc[lead[which]]
-    if task.within:
-        behind |= (doc == doc[lead[which]]) & (start > start[lead[which]])
-    alike = np.flatnonzero(~behind)
-    a, b = np.searchsorted(ids, which[alike]), np.searchsorted(ids, which[alike], "right")
-    n = b - a
-    each = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    whole = np.flatnonzero(behind)
-    first = np.concatenate([at[whole], np.repeat(at[alike], n) + off[each]])
-    count = np.concatenate([windows[which[whole]], num[each]])
-    own = np.concatenate([owner[whole], np.repeat(owner[alike], n)])
+    ids, off, num, first_doc, first_start = (x[order] for x in (ids, off, num, first_doc, first_start))
+    # Every run, stretch by stretch: a window goes where the index knows an earlier place of its words or bytes.
+    blocks, found = [], []
+    a, b = np.searchsorted(ids, which), np.searchsorted(ids, which, "right")
+    step = 1 << 20
+    for at_run in range(0, len(which), step):
+        mine = slice(at_run, at_run + step)
+        n = (b - a)[mine]
+        each = np.repeat(a[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        run = np.repeat(np.arange(len(which))[mine], n)
+        gone = first_doc[each] < doc[run]
+        if task.within:
+            gone |= (first_doc[each] == doc[run]) & (first_start[each] < start[run])
+        each, run = each[gone], run[gone]
+        blocks.append(owner[run])
+        found.append(np.stack([at[run] + off[each], num[each]], axis=1))
+    own, pairs = np.concatenate(blocks), np.concatenate(found)
     order = np.argsort(own, kind="stable")
-    pairs, own = np.stack([first, count], axis=1)[order], own[order]
+    pairs, own = pairs[order], own[order]
     cut = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else []
     return [int(own[i]) for i in cut], np.split(pairs, cut[1:]) if len(own) else []
 
 
-def _later(stretches: list[bytes], n: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, task: Task) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``stretch, first window, number`` of the windows whose words or bytes start earlier in another place."""
+def _least_places(stretches: list[bytes], n: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray, task: Task) -> tuple[np.ndarray, ...]:
+    """For runs of windows of each stretch, where the index has them first: ``stretch, first window, number, document, start``.
+
+    The start is that of a stretch of which these windows have the same offsets, so that it
+    compares with the start of any copy. A stretch lies in the index once, at its first place.
+    """
     cls = task.classes(stretches, task.win)
+    ends = np.cumsum(n)
+    of = np.repeat(np.arange(len(n)), n)
+    off = np.arange(len(of)) - np.repeat(ends - n, n)
+    first_doc, first_start = doc[of], start[of] + off
     order = np.argsort(cls, kind="stable")
     c = cls[order]
     tied = np.zeros(len(c), bool)
     tied[1:] = c[1:] == c[:-1]
     tied[:-1] |= tied[1:].copy()
-    pos, c = order[tied], c[tied]
-    if not len(pos):
-        return ids[:0], n[:0], n[:0]
-    ends = np.cumsum(n)
-    of = np.searchsorted(ends, pos, "right")
-    d, s = doc[of], start[of] + pos - (ends[of] - n[of])
-    order = np.lexsort((s, d, c))
-    head = np.append(True, c[order][1:] != c[order][:-1])
-    best = order[head][np.cumsum(head) - 1]
-    gone = d[best] < d[order]
-    if task.within:
-        gone |= (d[best] == d[order]) & (s[best] < s[order])
-    pos = np.sort(pos[order][gone])
-    if not len(pos):
-        return ids[:0], n[:0], n[:0]
-    of = np.searchsorted(ends, pos, "right")
-    first = np.flatnonzero(np.append(True, (pos[1:] != pos[:-1] + 1) | (of[1:] != of[:-1])))
-    return ids[of[first]], pos[first] - (ends[of[first]] - n[of[first]]), np.diff(np.append(first, len(pos)))
+    pos, c = order[tied], c[tied]  # those of intervals with several places
+    if len(pos):
+        order = np.lexsort((first_start[pos], first_doc[pos], c))
+        head = np.append(True, c[order][1:] != c[order][:-1])
+        best = pos[order[head][np.cumsum(head) - 1]]
+        first_doc[pos[order]], first_start[pos[order]] = first_doc[best], first_start[best]
+    base = first_start - off
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (first_doc[1:] != first_doc[:-1]) | (base[1:] != base[:-1])
+    at = np.flatnonzero(new)
+    return ids[of[at]], off[at], np.diff(np.append(at, len(of))), first_doc[at], base[at]
 
 
 def _windows(stretch: bytes, task: Task) -> int:

@@ -2,10 +2,12 @@
 
 :mod:`.passages` brings passages that may hold equal windows together, a shard at a time.
 A shard is a sequence of word numbers under an FM-index: the Burrows-Wheeler transform in a
-wavelet tree (levels of packed bits with counts), searched backward. The passages are
-streamed through it: from every word the match is extended to the left while more than one
-place has it, up to a window's length. Intervals that reach it are reported; a match
-that narrows to one place is its own and ends early.
+wavelet tree whose branches follow a prefix code of the words' frequencies, so that its packed
+bits take the transform's entropy and not the width of a number. Nothing else of the text is kept.
+The passages are streamed through it by backward search: from every word the match is
+extended to the left, which gives the matching statistic up to the threshold, the length of what
+occurs in a second place too, and the interval of its occurrences. Intervals that
+reach the threshold are reported.
 """
 
 from __future__ import annotations
@@ -29,48 +31,78 @@ class BitVector:
         padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
         padded[: len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view(np.uint64)
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)])
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)]).astype(np.uint32)
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before each place."""
         word = i >> 6
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & mask)
+        return self.before[word].astype(np.int64) + np.bitwise_count(self.words[word] & mask)
+
+
+def prefix_code(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``code, length`` of each symbol: a canonical prefix code of lengths ``ceil(log2(total / count))``, one bit at least."""
+    length = np.maximum(1, np.ceil(np.log2(counts.sum() / np.maximum(counts, 1)))).astype(np.int64)
+    code = np.empty(len(counts), np.int64)
+    order = np.argsort(length, kind="stable")
+    # Canonical: the next code of a length follows the last one, shifted to its width.
+    spent = np.cumsum(1 / np.exp2(length[order].astype(np.float64))) - 1 / np.exp2(length[order].astype(np.float64))
+    code[order] = np.round(spent * np.exp2(length[order].astype(np.float64))).astype(np.int64)
+    return code, length
 
 
 class WaveletTree:
-    """Rank over a sequence of numbers, a level per bit, highest first; zeros before ones."""
-
-    def __init__(self, seq: np.ndarray, bits: int):
-        self.bits, self.levels, self.zeros = bits, [], []
-        for level in range(bits - 1, -1, -1):
-            own = (seq >> level) & 1
-            self.levels.append(BitVector(own))
-            self.zeros.append(int(len(own) - own.sum()))
-            seq = np.concatenate([seq[own == 0], seq[own == 1]])
-        self.start = np.searchsorted(seq, np.arange(1 << bits)) if _is_sorted(seq) else None
-        self.order = seq
-
-    def descend(self, symbols: np.ndarray, places: list[np.ndarray]) -> list[np.ndarray]:
-        """Each place on the last level, where equal symbols stand together."""
-        for vector, zeros, level in zip(self.levels, self.zeros, range(self.bits - 1, -1, -1), strict=True):
-            up = (symbols >> level) & 1 == 1
-            for j, i in enumerate(places):
-                ones = vector.rank(i)
-                places[j] = np.where(up, zeros + ones, i - ones)
-        return places
+    """Rank over a sequence of numbers; a symbol's path is its code, its leaf as deep as its code is long.
 
+    A level holds the bits of all its nodes, from left to right; of a node only its first bit's
+    place is kept.
+    """
 
-def _is_sorted(seq: np.ndarray) -> bool:
-    return bool((seq[1:] >= seq[:-1]).all())
+    def __init__(self, seq: np.ndarray, counts: np.ndarray):
+        self.code, self.length = prefix_code(counts)
+        self.levels: list[BitVector] = []
+        self.nodes: list[np.ndarray] = []  # prefixes of the nodes of a level, in order
+        self.starts: list[np.ndarray] = []  # where the bits of each begin
+        code, length = self.code[seq], self.length[seq]
+        node = np.zeros(len(seq), np.int64)
+        for level in range(int(self.length.max())):
+            bit = (code >> (length - level - 1)) & 1
+            first = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+            self.levels.append(BitVector(bit.astype(np.uint8)))
+            self.nodes.append(node[first].astype(np.uint32))
+            self.starts.append(first.astype(np.uint32))
+            deeper = length > level + 1
+            node = (node << 1 | bit)[deeper]
+            order = np.argsort(node, kind="stable")
+            code, length, node = code[deeper][order], length[deeper][order], node[order]
+
+    def rank(self, symbols: np.ndarray, places: list[np.ndarray]) -> list[np.ndarray]:
+        """How often each symbol occurs before each place."""
+        own, length = self.code[symbols], self.length[symbols]
+        places = [p.copy() for p in places]
+        live = np.arange(len(symbols))
+        for level, vector in enumerate(self.levels):
+            live = live[length[live] > level]
+            if not len(live):
+                break
+            width = length[live]
+            start = self.starts[level][np.searchsorted(self.nodes[level], own[live] >> (width - level))].astype(np.int64)
+            before = vector.rank(start)
+            up = (own[live] >> (width - level - 1)) & 1 == 1
+            for p in places:
+                ones = vector.rank(start + p[live]) - before
+                p[live] = np.where(up, ones, p[live] - ones)
+        return places
 
 
 class FMIndex:
-    """Backward search over ``text``, numbers from 1 on, 0 ending each passage; true to ``depth``."""
+    """Backward search over ``text``, numbers from 1 on, 0 ending each passage; true to ``depth``.
+
+    What is kept is the transform in its tree and where each symbol's suffixes begin.
+    """
 
     def __init__(self, text: np.ndarray, depth: int):
         n = len(text)
-        self.text = text
         rank, span = text.copy(), 1
         while span < depth:  # order by prefixes of twice the length
             after = np.zeros(n, np.int64)
@@ -79,18 +111,37 @@ class FMIndex:
             _, rank = np.unique(key, return_inverse=True)
             span *= 2
         order = np.argsort(rank, kind="stable")
-        sigma = int(text.max()) + 1
-        self.first = np.searchsorted(text[order], np.arange(sigma + 1))
-        transform = text[order - 1]
-        self.tree = WaveletTree(transform, max(1, (sigma - 1).bit_length()))
-        zero = [np.zeros(sigma, np.int64)]
-        self.base = self.tree.descend(np.arange(sigma), zero)[0]
+        counts = np.bincount(text)
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+        self.tree = WaveletTree(text[order - 1], counts)
+
+    def interval(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of single symbols."""
+        return self.first[symbols], self.first[symbols + 1]
 
     def extend(self, low: np.ndarray, high: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Intervals of the matches with one more word to the left."""
-        a, b = self.tree.descend(symbols, [low, high])
-        shift = self.first[symbols] - self.base[symbols]
-        return a + shift, b + shift
+        """Intervals of the matches with one more symbol to the left."""
+        a, b = self.tree.rank(symbols, [low, high])
+        return a + self.first[symbols], b + self.first[symbols]
+
+
+def matching_statistics(fm: FMIndex, text: np.ndarray, ends: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``length, low, high`` for the matches that end with each of ``ends``, streamed through the index.
+
+    The length, up to ``threshold``, is how far left of an end (that included) the words still occur
+    in a second place; the interval is that of the match so far, of one place more where it ended.
+    """
+    length = np.zeros(len(ends), np.int64)
+    low, high = fm.interval(text[ends])
+    live = np.flatnonzero(high - low > 1)
+    length[live] = 1
+    for back in range(1, threshold):
+        if not len(live):
+            break
+        low[live], high[live] = fm.extend(low[live], high[live], text[ends[live] - back])
+        live = live[high[live] - low[live] > 1]
+        length[live] = back + 1
+    return length, low, high
 
 
 def window_classes(passages: list[bytes], win: int) -> np.ndarray:
@@ -99,25 +150,15 @@ def window_classes(passages: list[bytes], win: int) -> np.ndarray:
     index: dict[bytes, int] = {}
     lens = np.array([len(w) for w in words])
     flat = np.fromiter((index.setdefault(x, len(index) + 1) for w in words for x in w), np.int64, int(lens.sum()))
+    index.clear()
     ends = np.cumsum(lens + 1) - 1
     text = np.zeros(len(flat) + len(lens), np.int64)
     inside = np.ones(len(text), bool)
     inside[ends] = False
     text[inside] = flat
     starts = np.flatnonzero(np.arange(len(text)) + win <= np.repeat(ends, lens + 1))
-    fm = FMIndex(text, win)
-    numbers = len(text) + np.arange(len(starts))  # alone until found elsewhere
-    live = np.arange(len(starts))
-    last = text[starts + win - 1]
-    low, high = fm.first[last], fm.first[last + 1]
-    for back in range(win - 2, -1, -1):
-        more = high - low > 1
-        live, low, high = live[more], low[more], high[more]
-        if not len(live):
-            break
-        low, high = fm.extend(low, high, text[starts[live] + back])
-    numbers[live] = low
-    return numbers
+    length, low, _ = matching_statistics(FMIndex(text, win), text, starts + win - 1, win)
+    return np.where(length >= win, low, len(text) + np.arange(len(starts)))  # alone, if not above the threshold
 
 
 def task(win: int = WIN, k: int = K, **limits: int) -> Task:

@@ -279,3 +279,54 @@ def test_equal_windows_share_anchors():
     for u, a in anchor.items():
         by_window.setdefault(units.body[u : u + 50], set()).add(a)
     assert all(len(s) == 1 for s in by_window.values())
+
+
+def test_matching_statistics_by_brute_force():
+    rng = np.random.default_rng(3)
+    for n, sigma, threshold in ((1, 2, 4), (60, 2, 6), (400, 4, 7), (3000, 60, 5)):
+        text = rng.zipf(1.4, n).clip(1, sigma)
+        text[rng.integers(0, n, n // 15)] = 0
+        text[-1] = 0
+        _, text = np.unique(np.append(text, 0), return_inverse=True)  # numbers without gaps
+        text = text[:n] if n > 1 else np.array([0])
+        fm = substring_dedup.FMIndex(text, threshold)
+        ends = np.array([i for i in range(n) if text[max(0, i - threshold + 1) : i + 1].all() and i >= threshold - 1], np.int64)
+        length, low, high = substring_dedup.matching_statistics(fm, text, ends, threshold) if len(ends) else ([], [], [])
+        places: dict = {}
+        for i in range(n):
+            for k in range(1, threshold + 1):
+                if i - k + 1 >= 0:
+                    places.setdefault(tuple(text[i - k + 1 : i + 1]), []).append(i)
+        for i, got, a, b in zip(ends, length, low, high, strict=True):
+            want = max([k for k in range(1, threshold + 1) if len(places[tuple(text[i - k + 1 : i + 1])]) > 1], default=0)
+            assert got == want
+            if want == threshold:
+                assert b - a == len(places[tuple(text[i - threshold + 1 : i + 1])])
+
+
+def test_the_index_is_as_small_as_the_entropy():
+    rng = np.random.default_rng(4)
+    text = np.append(rng.zipf(1.5, 200_000).clip(1, 5000), 0)
+    _, text = np.unique(text, return_inverse=True)
+    share = np.bincount(text) / len(text)
+    entropy = -(share * np.log2(share)).sum()
+    fm = substring_dedup.FMIndex(text, 20)
+    bits = sum(v.words.nbytes for v in fm.tree.levels) * 8 / len(text)
+    assert bits <= entropy + 1.1 < int(text.max()).bit_length()
+    assert not any(isinstance(x, np.ndarray) and len(x) >= len(text) for x in (*vars(fm).values(), *vars(fm.tree).values()))
+
+
+def test_every_window_is_judged_by_the_index(spark, monkeypatch):
+    """Copies are no exception: a run goes where the index has its windows first, whole stretches too."""
+    asked = []
+    classes = substring_dedup.window_classes
+    monkeypatch.setattr(substring_dedup, "window_classes", lambda parts, win: (asked.append(sum(max(0, p.count(b" ") + 2 - win) for p in parts)), classes(parts, win))[1])
+    units = passages.word_units
+    task = substring_dedup.task()
+    body = b" ".join(b"w%d" % (i % 50) for i in range(200))
+    stretch = bytes(body[: body.index(b"w30") + 3])
+    arrays = (np.array([7], np.uint16), np.array([0, 0, 0], np.uint32), np.array([0, 5, 9]), np.array([4, 2, 9]), np.array([0, 3, 1]), np.array([1, 1, 2]))
+    blocks, pairs = passages.shard_windows([(arrays, [stretch])], task)
+    windows = stretch.count(b" ") + 2 - 20
+    assert units is passages.word_units and asked == [windows]
+    assert dict(zip(blocks, [p.tolist() for p in pairs], strict=True)) == {1: [[0, windows]], 2: [[9, windows]]}
