@@ -30,8 +30,8 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def buckets(spark: SparkSession) -> int:
-    """Buckets of a work table: several a shuffle partition, so that they come out even."""
-    return min(MOST_BUCKETS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Buckets of a work table: one a shuffle partition, as a bucket is a task even where it is empty."""
+    return min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def write_bucketed(df: DataFrame, label: str, column: str, *, compression: str | None = None) -> DataFrame:
