@@ -240,17 +240,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         raise ValueError(f"columns in the way: {', '.join(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     out = T.StructType([*docs.schema.fields, *[T.StructField(n, k) for n, k in extra]])
+    # A text that is a string goes to Python once; any other kind goes there as one, beside itself.
+    own, strings = len(docs.columns), [i for i, f in enumerate(docs.schema.fields) if f.name.lower() == "text" and f.dataType == T.StringType()]
+    sent = docs if strings else docs.select(*docs.columns, text_or_empty().alias("__text"))
+    place = strings[0] if strings else own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(place)
             for at in range(0, batch.num_rows, 512):
                 found = shared.value.predict([t or "" for t in texts.slice(at, 512).to_pylist()])
-                cols = [c.slice(at, 512) for c in batch.columns[:-1]]
+                cols = [c.slice(at, 512) for c in batch.columns[:own]]
                 pred = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.list_(pa.string()), pa.float64()))]
                 yield pa.RecordBatch.from_arrays([*cols, *pred], names=out.names)
 
-    return spread(docs.select(*docs.columns, text_or_empty().alias("__text"))).mapInArrow(run, out)
+    return spread(sent).mapInArrow(run, out)
 
 
 def split(docs: DataFrame) -> DataFrame:
