@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chronoweave.llm import near_copies
+from chronoweave.llm import near_copies, simhash
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -105,3 +107,53 @@ def test_rows_without_or_with_repeated_identifiers(spark):
     rest = [(i, t) for i, t in got if t not in fours | nulls]
     assert rest == sorted([(1, " ".join(a)), (2, " ".join(b)), (None, own[0]), (None, own[1]), (9, own[2]), (9, own[3])], key=repr)
     assert corpus_pipeline.near(spark, frame(spark, rows[:0]), "").count() == 0
+
+
+def ball(code, unsure):
+    """All points at up to two of the four bits, one by one."""
+    bits = [int(unsure) >> 6 * i & 63 for i in range(4)]
+    return {int(code) ^ sum(1 << b for b in some) for n in range(3) for some in itertools.combinations(bits, n)}
+
+
+def test_ball_points_by_brute_force(spark):
+    plan = simhash.ball_plan(240_000, 0.8)
+    rng = np.random.default_rng(1)
+    codes, unsure, _ = simhash.signature(np.unique(rng.integers(0, 1 << 63, 100, dtype=np.uint64)), plan)
+    frame = spark.createDataFrame([(i, int(c), int(u)) for i, (c, u) in enumerate(zip(codes, unsure))], "table int, code long, unsure long")
+    for r in frame.select("*", simhash.ball_keys(F.col("code"), F.col("unsure"), F.col("table"), plan).alias("points")).collect():
+        assert len(r.points) == 11 and {p - (r.table << plan.bits) for p in r.points} == ball(r.code, r.unsure)
+
+
+@pytest.mark.parametrize("words", [8, 12, 30, 100, 300])
+def test_balls_meet_at_the_bound(words):
+    """At the size of a large table: nearly all pairs just above 0.8 share a point and pass both comparisons of bits."""
+    rng, plan = random.Random(words), simhash.ball_plan(240_000, 0.8)
+    found = total = 0
+    for _ in range(200):
+        a = prose(rng, words)
+        b = [*a, "one"] if words < 12 else edited(rng, a, 0.8)
+        sets = [near_copies.shingles(" ".join(x), 5) for x in (a, b)]
+        (codes, unsure, check), (codes2, unsure2, check2) = (simhash.signature(x, plan) for x in sets)
+        small = set(near_copies.small_points(sets[0], 0.8)) & set(near_copies.small_points(sets[1], 0.8))
+        meet = small or any(ball(*x) & ball(*y) for x, y in zip(zip(codes, unsure), zip(codes2, unsure2)))
+        differ = sum((int(x) ^ int(y)).bit_count() for x, y in zip(codes, codes2))
+        alike = ((check ^ check2) & (1 << 64) - 1).bit_count() <= plan.most(64, 4.5) and differ <= plan.most(plan.tables * plan.bits, 6)
+        found, total = found + bool(meet and alike), total + 1
+    assert found >= 0.985 * total
+
+
+def test_the_stage_goes_through_the_balls(spark, monkeypatch):
+    """Without common points there are no links: nothing beside the fingerprints' balls proposes pairs."""
+    rng = random.Random(6)
+    rows = [(i + j, " ".join(t)) for i in range(0, 40, 2) for a in [prose(rng, 100)] for j, t in enumerate((a, edited(rng, a, 0.9)))]
+    assert corpus_pipeline.near(spark, frame(spark, rows), "").count() == 20
+    monkeypatch.setattr(near_copies, "ball_keys", lambda code, unsure, table, plan: F.array(F.monotonically_increasing_id()))
+    assert corpus_pipeline.near(spark, frame(spark, rows), "").count() == 40
+
+
+def test_short_texts_with_one_word_more_go(spark):
+    rng = random.Random(7)
+    rows = [(i + j, t) for i in range(0, 400, 2) for a in [" ".join(prose(rng, 8 + i % 3))] for j, t in enumerate((a, a + " one"))]
+    rows += [(1000 + i, " ".join(prose(rng, 1 + i % 5))) for i in range(100)]
+    kept = sorted(r.doc_id for r in corpus_pipeline.near(spark, frame(spark, rows), "").collect())
+    assert kept == [*range(0, 400, 2), *range(1000, 1100)]
