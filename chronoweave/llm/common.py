@@ -7,16 +7,26 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import last_path, made, new_path, new_table, release, shared_folder, stage
 
-__all__ = ["WORD", "attach", "buckets", "join_hot", "last_path", "made", "new_path", "new_table", "numbered", "release", "shared_folder", "spread", "table", "text_or_empty", "write_bucketed", "write_table"]
+__all__ = ["WORD", "attach", "bounded_bytes", "buckets", "join_hot", "last_path", "made", "new_path", "new_table", "numbered", "release", "shared_folder", "spread", "table", "text_or_empty", "write_bucketed", "write_table"]
 
 #: One word of a text: a run of anything but space and the ASCII controls 9-13.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch of long rows; a batch is held by the JVM and by Python, on its way there and back.
+BATCH_BYTES = 4 << 20
 #: Buckets of a table at most.
 MOST_BUCKETS = 50_000
 
 write_table = stage
 
 
+def bounded_bytes(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Arrow batches of the session take ``most`` bytes or one row; they stay so, as results are read after the return."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    text = str(spark.conf.get(name)).strip().lower().removesuffix("b")
+    if not text.isdigit() or not 0 < int(text) <= most:
+        spark.conf.set(name, str(most))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of few row groups, dealt over the cores before heavy work on each row.
 

@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread, text_or_empty, write_bucketed, write_table
+from .common import bounded_bytes, spread, text_or_empty, write_bucketed, write_table
 
 BLOCK_BYTES = 1 << 20
 #: Bytes that a task gathers for all buckets or shards before it sends them.
@@ -46,6 +46,8 @@ BUCKET_ANCHORS = 1 << 20
 #: Bytes that a shard indexes at once; stretches of one anchor stay together.
 CHUNK_BYTES = 1 << 20
 HOT_BLOCKS = 4096
+#: Runs of a shard that are looked up at once.
+RUNS = 1 << 16
 #: Order of a missing identifier: before all others.
 NO_ID = -(1 << 63)
 
@@ -421,12 +423,11 @@ def shard_windows(parcels: list, task: Task) -> tuple[list[int], list[np.ndarray
     # Every run, stretch by stretch: a window goes where the index knows an earlier place of its words or bytes.
     blocks, found = [], []
     a, b = np.searchsorted(ids, which), np.searchsorted(ids, which, "right")
-    step = 1 << 20
-    for at_run in range(0, len(which), step):
-        mine = slice(at_run, at_run + step)
+    for at_run in range(0, len(which), RUNS):
+        mine = slice(at_run, at_run + RUNS)
         n = (b - a)[mine]
         each = np.repeat(a[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        run = np.repeat(np.arange(len(which))[mine], n)
+        run = np.repeat(np.arange(at_run, at_run + len(n)), n)
         gone = first_doc[each] < doc[run]
         if task.within:
             gone |= (first_doc[each] == doc[run]) & (first_start[each] < start[run])
@@ -487,6 +488,7 @@ def covered(n: int, lists: list[bytes], win: int) -> np.ndarray:
 def with_windows(docs: DataFrame, task: Task) -> DataFrame:
     """Steps 1 to 3: the blocks, and for each the ``windows`` to remove (null: none)."""
     spark: SparkSession = docs.sparkSession
+    bounded_bytes(spark)
     blocks = block_table(docs, task)
     held = blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     per_unit = 1 if task.units is byte_units else 6
