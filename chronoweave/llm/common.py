@@ -53,13 +53,14 @@ def write_bucketed(df: DataFrame, label: str, column: str, *, compression: str |
     return spark.table(name)
 
 
-def numbered(df: DataFrame, label: str) -> DataFrame:
+def numbered(df: DataFrame, label: str, *, compression: str | None = None) -> DataFrame:
     """``df``, written with ``__part``, the task that wrote a row, and ``__slot``, its place there.
 
-    The table is bucketed by ``__part``: what :func:`attach` adds comes to the rows.
+    The table is bucketed by ``__part``: what :func:`attach` adds comes to the rows. It stays as long as
+    the result is read, so whole texts may be worth a stronger ``compression``.
     """
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("int")
-    return write_bucketed(df.withColumns({"__part": F.spark_partition_id(), "__slot": place}), label, "__part")
+    return write_bucketed(df.withColumns({"__part": F.spark_partition_id(), "__slot": place}), label, "__part", compression=compression)
 
 
 def attach(rows: DataFrame, facts: DataFrame, value: str) -> DataFrame:

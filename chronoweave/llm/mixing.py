@@ -169,7 +169,7 @@ def materialise(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share:
     missing identifiers; all other columns come through, whatever their names. Texts are
     written once, and only decisions move.
     """
-    rows = numbered(docs, "mix-rows")
+    rows = numbered(docs, "mix-rows", compression="zstd")
     decided = decide(_sized(rows, "doc_id", "text", "source"), weights=weights, share=share, max_epochs=max_epochs, seed=seed)
     once_more = F.when(F.col("part") == F.col("size"), 1).otherwise(0)
     full = F.when(F.col("size") > 0, F.col("whole") + once_more).otherwise(0).cast("int")

@@ -1,11 +1,14 @@
-"""What a worker holds at once is bounded in bytes, however long the rows are."""
+"""What a worker holds at once is bounded in bytes, however long the rows are; staged texts are small."""
 
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pyarrow as pa
+import pytest
 
+import corpus_pipeline
 from chronoweave.llm import substring_dedup
 from chronoweave.llm.common import BATCH_BYTES
 from chronoweave.llm.passages import with_windows
@@ -32,3 +35,22 @@ def test_blocks_come_in_bounded_batches(spark):
         assert all(r.total <= BATCH_BYTES + r.longest for r in got), got
     finally:
         spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mix])
+def test_staged_texts_are_small(spark, stage):
+    """What a stage keeps of the whole texts takes at most three quarters of the input on disk; nothing of them is lost."""
+    rng = random.Random(2)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    words = [letters[i : i + 2 + i % 7] for i in range(0, 20_000, 5)]
+    rows = [(i, " ".join(rng.choices(words, k=400)), "xx", "s", 1) for i in range(600)]
+    docs = corpus_pipeline.write_table(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2), "memory")
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(folder.iterdir())
+    size = lambda d: sum(f.stat().st_size for f in d.rglob("*.parquet"))
+    given = size(Path(docs.inputFiles()[0].removeprefix("file://")).parent)
+    got = stage(spark, docs, "")
+    assert set(r.text for r in got.collect()) == {r[1] for r in rows}
+    made = {d.name.rsplit("-", 1)[0]: size(d) for d in set(folder.iterdir()) - before}
+    staged = {k: v for k, v in made.items() if k in ("exact-rows", "near-staged", "mix-rows")}
+    assert len(staged) == 1 and max(staged.values()) <= 0.75 * given, (given, staged)
