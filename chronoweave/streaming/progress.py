@@ -37,10 +37,11 @@ class ProgressLog(StreamingQueryListener):
         self.write(json.dumps({"state": "failed" if event.exception else "done"}))
 
 
-def append_batches(stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...] = ("recording_id", "model"), *, available: bool = False):
+def append_batches(stream: DataFrame, path: str, checkpoint: str, *, available: bool = False):
     """Writes a stream of words as they come: each micro-batch is committed as a whole, once.
 
-    With ``available`` the query ends with what is there now.
+    A task adds one file to the table, whatever keys its rows have; a folder a key would be a small
+    file for each key that comes. With ``available`` the query ends with what is there now.
     """
-    out = stream.writeStream.format("parquet").partitionBy(*keys).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    out = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     return (out.trigger(availableNow=True) if available else out).start()
