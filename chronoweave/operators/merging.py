@@ -44,7 +44,7 @@ def merge_overlaps(words: DataFrame, *, keys: Sequence[str] = ("recording_id", "
 
     ``center2_ms`` is twice the window's centre, so ownership needs no fraction.
     """
-    owned = words.join(owned_ranges(words, keys), [*keys, "window_idx"])
+    owned = words.join(owned_ranges(words, keys).hint("shuffle_hash"), [*keys, "window_idx"])  # a row a window, so words need no sort
     at = 4 * F.col("start_ms")
     mine = (F.col("low4").isNull() | (F.col("low4") <= at)) & (F.col("high4").isNull() | (at < F.col("high4")))
     return owned.where(mine).drop("low4", "high4")

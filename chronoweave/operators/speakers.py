@@ -17,25 +17,24 @@ def assign_speakers(words: DataFrame, turns: DataFrame, *, smoothing_ms: int = 2
     """``words`` with the ``speaker`` who holds most of the ``smoothing_ms`` around its middle.
 
     Of speakers with as much, the one whose turn comes first; none: ``SPEAKER_UNKNOWN``. All is
-    doubled, so that middles are whole. Words are told apart by ``keys``, ``seq`` and, where they
-    have it, ``window_idx``. They meet the turns bucket by bucket in an outer join, so that
-    one shuffle by word serves both the tally and the vote, and the words are read once.
+    doubled, so that middles are whole. A word meets the turns once, in the bucket of its middle, where
+    those within ``smoothing_ms`` of the bucket stand in one row; it is voted on in its own row, so
+    words are neither multiplied nor dealt by word.
     """
     by_start = Window.partitionBy("recording_id").orderBy("start_ms", "turn_seq")
-    ranked = turns.select("recording_id", (2 * F.col("start_ms")).alias("__rs"), (2 * F.col("end_ms")).alias("__re"), F.col("speaker").alias("__speaker"), F.row_number().over(by_start).alias("__rank"))
-    words = words.drop("speaker")
-    ident = [*keys, "seq", *[c for c in ("window_idx",) if c in words.columns]]
+    ranked = turns.select("recording_id", (2 * F.col("start_ms")).alias("rs"), (2 * F.col("end_ms")).alias("re"), F.col("speaker").alias("who"), F.row_number().over(by_start).alias("rank"))
     middle, width = F.col("start_ms") + F.col("end_ms"), 2 * width_ms
-    around = words.select(*ident, F.struct(*[c for c in words.columns if c not in ident]).alias("__rest"), (middle - smoothing_ms).alias("__ls"), (middle + smoothing_ms).alias("__le"))
-    pairs = over_buckets(around, "__ls", "__le", width).join(over_buckets(ranked.where("__re > __rs"), "__rs", "__re", width), ["recording_id", "__bucket"], "left")
-    once = F.col("__rs").isNotNull() & (F.floor(F.greatest("__ls", "__rs") / width) == F.col("__bucket"))  # greatest and least pass over nulls
-    ms = scalar.overlap(F.col("__ls"), F.col("__le"), F.col("__rs"), F.col("__re"))
-    held = pairs.select(*ident, "__rest", F.when(once & (ms > 0), F.struct("__speaker", "__rank", ms.alias("__ms"))).alias("__h")).repartition(*ident)
-    tally = held.groupBy(*ident, F.col("__h.__speaker").alias("__speaker")).agg(F.first("__rest").alias("__rest"), F.sum("__h.__ms").alias("__ms"), F.min("__h.__rank").alias("__rank"))
-    vote = F.max_by("__speaker", F.when(F.col("__ms") > 0, F.struct("__ms", -F.col("__rank"))))
-    best = tally.groupBy(*ident).agg(F.first("__rest").alias("__rest"), vote.alias("speaker"))
-    rest = {f"{c}": F.col(f"__rest.{c}") for c in words.columns if c not in ident}
-    return best.select(*[rest.get(c, F.col(c)).alias(c) for c in words.columns], F.coalesce("speaker", F.lit(UNKNOWN_SPEAKER)).alias("speaker"))
+    reach = ranked.where("re > rs").withColumn("__from", F.col("rs") - smoothing_ms).withColumn("__to", F.col("re") + smoothing_ms)
+    near = over_buckets(reach, "__from", "__to", width).groupBy("recording_id", "__bucket").agg(F.collect_list(F.struct("rs", "re", "who", "rank")).alias("__turns"))
+    met = words.drop("speaker").withColumn("__bucket", F.floor(middle / width).cast("long")).join(near.hint("shuffle_hash"), ["recording_id", "__bucket"], "left")
+    ms = lambda t: scalar.overlap(middle - smoothing_ms, middle + smoothing_ms, t.rs, t.re)
+    held = met.withColumn("__held", F.filter(F.coalesce("__turns", F.array().cast(near.schema["__turns"].dataType)), lambda t: ms(t) > 0))
+    own = lambda who: F.filter("__held", lambda t: t.who.eqNullSafe(who))
+    tally = F.transform(F.array_distinct(F.transform("__held", lambda t: t.who)), lambda who: F.struct(
+        F.aggregate(own(who), F.lit(0).cast("long"), lambda n, t: n + ms(t)).alias("ms"), (-F.array_min(F.transform(own(who), lambda t: t.rank))).alias("first"), who.alias("who"),
+    ))
+    vote = F.when(F.size("__held") == 1, F.col("__held")[0].who).when(F.size("__held") > 1, F.array_max(tally).who)
+    return held.select(*[c for c in words.columns if c != "speaker"], F.coalesce(vote, F.lit(UNKNOWN_SPEAKER)).alias("speaker"))
 
 
 def build_segments(words: DataFrame, *, keys: Sequence[str] = ("recording_id", "model"), max_gap_ms: int | None = None) -> DataFrame:

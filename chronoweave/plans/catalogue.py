@@ -23,16 +23,19 @@ POLLS = {"overlap": 2000, "window": 3000, "least_overlap": 500, "tolerance": 300
 
 
 class _Inputs:
-    """The input tables of one query; words are staged, as all the others come from them."""
+    """The input tables of one query.
+
+    The spans of turns are staged, a small table. Words are not: they are dealt by recording once, as
+    text, and all that becomes of them up to the segments is made where they lie.
+    """
 
     def __init__(self, spark: SparkSession, d: str):
-        self.words = stage(ad.words(spark, d), "words")
-        self.turns, self.recordings, self.emitted = ad.turns(self.words), ad.recordings(self.words), ad.model_words(self.words)
+        spans = stage(ad.spans(spark, d), "spans")
+        self.words, self.emitted = ad.words(spark, d), ad.model_words(ad.heard(spark, d))
+        self.turns, self.recordings = ad.turns(spans), spans.groupBy("recording_id").agg(F.max("duration_ms").alias("duration_ms"))
 
     def keyed(self) -> DataFrame:
-        """Recordings by the models that heard anything of them."""
-        heard = ad.models(self.words).select("recording_id", "model").distinct()
-        return self.recordings.join(heard, "recording_id").select(*KEYS, "duration_ms")
+        return ad.keyed(self.recordings)
 
     def merged(self) -> DataFrame:
         return merging.merge_overlaps(self.emitted, keys=KEYS)
@@ -42,7 +45,7 @@ class _Inputs:
 
     def segments(self) -> DataFrame:
         """Staged too: most queries read them more than once."""
-        return stage(speakers.build_segments(self.labelled(), keys=KEYS), "segments")
+        return stage(speakers.build_segments(self.labelled(), keys=KEYS), "segments", together=True)
 
     def tuned(self) -> timeline.Tuned:
         return timeline.tune(self.emitted, self.turns, self.keyed(), most_tail_ms=TAIL_MS)
@@ -99,13 +102,13 @@ def nearest_silence_snap(spark, d):
 
 
 def overlap_merge(spark, d):
-    return _Inputs(spark, d).merged().select(*KEYS, "seq", "text", "start_ms", "window_idx")
+    return stage(_Inputs(spark, d).merged().select(*KEYS, "seq", "text", "start_ms", "window_idx"), "merged", together=True)
 
 
 def overlap_drop_counts(spark, d):
     inputs = _Inputs(spark, d)
     before = inputs.emitted.groupBy(*KEYS).agg(F.count("*").alias("emitted"))
-    after = inputs.merged().groupBy(*KEYS).agg(F.count("*").alias("kept"))
+    after = stage(inputs.merged().groupBy(*KEYS).agg(F.count("*").alias("kept")), "kept", together=True)
     return before.join(after, KEYS).withColumn("dropped", F.col("emitted") - F.col("kept"))
 
 
@@ -114,11 +117,11 @@ def merge_with_failed_window(spark, d):
     emitted = _Inputs(spark, d).emitted
     failed = (F.col("window_idx") % 4 == 2) & (F.col("model") == "canary")
     heard = emitted.withColumn("text", F.when(failed, "").otherwise(F.col("text"))).where("text <> ''")
-    return merging.merge_overlaps(heard, keys=KEYS).select(*KEYS, "seq", "window_idx")
+    return stage(merging.merge_overlaps(heard, keys=KEYS).select(*KEYS, "seq", "window_idx"), "merged", together=True)
 
 
 def speaker_assign(spark, d):
-    return _Inputs(spark, d).labelled().select(*KEYS, "seq", "speaker")
+    return stage(_Inputs(spark, d).labelled().select(*KEYS, "seq", "speaker"), "labelled", together=True)
 
 
 def speaker_assign_ties(spark, d):
@@ -136,11 +139,11 @@ def speaker_unknown(spark, d):
     inputs = _Inputs(spark, d)
     short = inputs.turns.withColumn("end_ms", F.least("end_ms", F.col("start_ms") + 2000))
     named = speakers.assign_speakers(inputs.merged(), short, keys=KEYS)
-    return named.groupBy(*KEYS).agg(F.count("*").alias("words"), F.count_if(F.col("speaker") == fixed.UNKNOWN_SPEAKER).alias("unknown"))
+    return stage(named.groupBy(*KEYS).agg(F.count("*").alias("words"), F.count_if(F.col("speaker") == fixed.UNKNOWN_SPEAKER).alias("unknown")), "named", together=True)
 
 
 def build_segments(spark, d):
-    return speakers.build_segments(_Inputs(spark, d).labelled(), keys=KEYS)
+    return _Inputs(spark, d).segments()
 
 
 def segment_sort(spark, d):
@@ -192,18 +195,18 @@ def semantic_inversions(spark, d):
 
 def tail_gap(spark, d):
     inputs = _Inputs(spark, d)
-    return coverage.tail_gaps(inputs.keyed(), speakers.build_segments(inputs.labelled(), keys=KEYS), most_ms=TAIL_MS)
+    return coverage.tail_gaps(inputs.keyed(), inputs.segments(), most_ms=TAIL_MS)
 
 
 def coverage_summary(spark, d):
     inputs = _Inputs(spark, d)
-    return coverage.audit(inputs.turns, speakers.build_segments(inputs.labelled(), keys=KEYS), inputs.keyed())[0]
+    return coverage.audit(inputs.turns, inputs.segments(), inputs.keyed())[0]
 
 
 def coverage_gaps(spark, d):
     inputs = _Inputs(spark, d)
     parts = speakers.build_segments(inputs.merged().withColumn("speaker", F.lit("x")), keys=KEYS, max_gap_ms=1000)
-    return coverage.audit(inputs.turns, stage(parts, "parts"), inputs.keyed())[1]
+    return coverage.audit(inputs.turns, stage(parts, "parts", together=True), inputs.keyed())[1]
 
 
 def interval_union(spark, d):

@@ -33,7 +33,7 @@ def tune(words: DataFrame, turns: DataFrame, recordings: DataFrame, *, smoothing
     """
     merged = merging.merge_overlaps(words, keys=KEYS)
     labelled = speakers.assign_speakers(merged, turns, smoothing_ms=smoothing_ms, keys=KEYS)
-    segments = stage(speakers.build_segments(labelled, keys=KEYS), "segments")
+    segments = stage(speakers.build_segments(labelled, keys=KEYS), "segments", together=True)
     summary, gaps = coverage.audit(turns, segments, recordings, grace_ms=grace_ms, least_ms=least_gap_ms, keys=KEYS)
     tails = coverage.tail_gaps(recordings, segments, most_ms=most_tail_ms, keys=KEYS)
     return Tuned(labelled, segments, summary, gaps, tails, coverage.warnings(summary, tails, least_pct=least_pct, keys=KEYS))
